@@ -5,9 +5,6 @@ A missing value is always SQL NULL, never NaN; a rate over an empty base is 0.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,8 +19,25 @@ def numeric(value) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def divide_text(numerator: str, denominator: str) -> str:
+    """SQL text of a division: 0 for a zero or missing denominator, a missing numerator stays."""
+    return (
+        f"(case when ({denominator}) is null or ({denominator}) = 0 then 0D "
+        f"else cast(({numerator}) as double) / cast(({denominator}) as double) end)"
+    )
+
+
+def mean_text(values: list[str]) -> str:
+    """SQL text of the mean over those values of one row that are present; null when none is."""
+    total = " + ".join(f"coalesce(cast({v} as double), 0D)" for v in values)
+    present = " + ".join(f"cast(({v}) is not null as int)" for v in values)
+    return f"(({total}) / nullif({present}, 0))"
+
+
 def safe_divide(numerator, denominator) -> Column:
     """0 for a zero or missing denominator; a missing numerator stays missing."""
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        return F.expr(divide_text(numerator, denominator))
     top, bottom = as_col(numerator).cast("double"), as_col(denominator).cast("double")
     return F.when(bottom.isNull() | (bottom == 0), F.lit(0.0)).otherwise(top / bottom)
 
@@ -33,33 +47,21 @@ def rate(numerator, denominator) -> Column:
     return F.coalesce(safe_divide(numerator, denominator), F.lit(0.0))
 
 
-def count_present(names: list) -> Column:
-    return reduce(add, [as_col(n).isNotNull().cast("int") for n in names])
+def row_mean(values: list[str]) -> Column:
+    return F.expr(mean_text(values))
 
 
-def row_mean(names: list) -> Column:
-    """Mean over the columns of one row that are present; null when none is."""
-    total = reduce(add, [F.coalesce(as_col(n).cast("double"), F.lit(0.0)) for n in names])
-    present = count_present(names)
-    return F.when(present > 0, total / present)
-
-
-def count_positive(names: list) -> Column:
+def count_positive(names: list[str]) -> Column:
     """How many columns of a row are above zero; missing ones are not."""
-    return reduce(add, [F.when(as_col(n) > 0, 1).otherwise(0) for n in names])
+    return F.expr(" + ".join(f"(case when {n} > 0 then 1 else 0 end)" for n in names))
 
 
 def inf_to_null(value) -> Column:
+    """Infinite values and NaN become null."""
     column = as_col(value)
     return F.when(~F.isnan(column) & (F.abs(column) != F.lit(float("inf"))), column)
 
 
-def f_beta(precision, recall, beta: int) -> Column:
-    p, r = as_col(precision), as_col(recall)
-    square = float(beta * beta)
-    return rate((1.0 + square) * p * r, square * p + r)
-
-
 def cell_text(value, dtype: str, places: int | None = None) -> Column:
     """Exact text of one cell; with ``places``, fractions are written as whole units of 10^-places.
 

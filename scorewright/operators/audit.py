@@ -97,10 +97,10 @@ def column_modes(df: DataFrame, names: list[str]) -> DataFrame:
 
 def column_medians(df: DataFrame, names: list[str]) -> DataFrame:
     """One row with the median of every numeric column, 0 where all are missing."""
-    found = exact_quantiles(df, names, [0.5]).withColumn("median", F.col("quantiles")[0])
+    found = exact_quantiles(df, names, [0.5])
     return found.agg(
         *[
-            F.coalesce(F.max(F.when(F.col("feature") == n, F.col("median"))), F.lit(0.0)).alias(n)
+            F.expr(f"coalesce(max(case when feature = '{n}' then quantiles[0] end), 0D) as `{n}`")
             for n in names
         ]
     )
@@ -117,22 +117,21 @@ def column_defaults(df: DataFrame, numeric: list[str], text: list[str]) -> DataF
     return both.select(*numeric, *[F.col(f"_text.{n}").alias(n) for n in text])
 
 
-def _correlation(x: Column, y: Column) -> Column:
+def correlation_text(x: str, y: str) -> str:
     """Pearson correlation over the rows where both are present; null for a constant column."""
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x), F.when(both, y)
-    spread = F.sqrt(F.var_pop(a) * F.var_pop(b))
-    return F.when(spread > 0, F.covar_pop(a, b) / spread)
+    a, b = f"(case when {y} is not null then {x} end)", f"(case when {x} is not null then {y} end)"
+    spread = f"sqrt(var_pop({a}) * var_pop({b}))"
+    return f"(case when {spread} > 0 then covar_pop({a}, {b}) / {spread} end)"
 
 
 def feature_target_corr(df: DataFrame, features: list[str], target: str = TARGET) -> DataFrame:
     """Correlation of every feature with the target, one pass over the table."""
-    y = F.col(target).cast("double")
-    row = df.agg(*[_correlation(F.col(n).cast("double"), y).alias(n) for n in features])
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("feature"), F.col(n).alias("correlation")) for n in features]
+    numbers = df.select(
+        F.col(target).cast("double").alias("_y"),
+        *[F.expr(f"cast(`{n}` as double) as `{n}`") for n in features],
     )
-    return row.select(F.inline(pairs)).withColumnRenamed("correlation", "correlation_with_target")
+    row = numbers.agg(*[F.expr(f"{correlation_text(f'`{n}`', '_y')} as `{n}`") for n in features])
+    return row.unpivot([], features, "feature", "correlation_with_target")
 
 
 MI_BINS = 10
@@ -173,14 +172,13 @@ def mutual_info_target(
     edges = by_feature(found, features, "quantiles")
     wide = df.select(target, *features).withColumn("_edges", edges)
 
-    def code(name: str) -> Column:
-        at = F.col(f"_edges.{name}")
-        value = F.coalesce(F.col(name).cast("double"), F.get(at, F.lit(len(levels))), F.lit(0.0))
-        below = F.filter(F.slice(at, 1, len(levels)), lambda edge: edge <= value)
-        return F.coalesce(F.size(below), F.lit(0)).cast("string")
+    def code(name: str) -> str:
+        value = f"coalesce(cast(`{name}` as double), get(_edges.`{name}`, {len(levels)}), 0D)"
+        cuts = f"slice(_edges.`{name}`, 1, {len(levels)})"
+        return f"coalesce(size(filter({cuts}, edge -> edge <= {value})), 0)"
 
-    cells = [F.struct(F.lit(n).alias("feature"), code(n).alias("code")) for n in features]
-    coded = wide.select(target, F.inline(F.array(*cells)))
+    cells = ", ".join(f"struct('{n}' as feature, string({code(n)}) as code)" for n in features)
+    coded = wide.select(target, F.expr(f"inline(array({cells}))"))
     if text:
         cells = F.array(
             *[
@@ -247,7 +245,7 @@ def feature_group_assoc(
             ).alias(f"group_{s}_missing_rate")
             for s in sides
         ],
-        F.coalesce(_correlation(F.col("value"), F.col("in_b").cast("double")), F.lit(0.0)).alias(
+        F.expr(f"coalesce({correlation_text('value', 'in_b')}, 0D)").alias(
             "correlation_with_sex_binary"
         ),
     )
@@ -284,31 +282,31 @@ def impute_scale(df: DataFrame, features: list[str], keep: list[str]) -> DataFra
     held = df.select(*keep, *features).withColumn("_medians", medians)
     whole = held.select(
         *keep,
-        *[F.coalesce(F.col(n).cast("double"), F.col(f"_medians.{n}")).alias(n) for n in features],
+        *[F.expr(f"coalesce(cast(`{n}` as double), _medians.`{n}`) as `{n}`") for n in features],
     )
     stats = whole.agg(
-        *[F.struct(F.avg(n).alias("mean"), F.stddev_pop(n).alias("spread")).alias(n) for n in features]
+        *[
+            F.expr(f"struct(avg(`{n}`) as mean, nullif(stddev_pop(`{n}`), 0D) as spread) as `{n}`")
+            for n in features
+        ]
     )
     scaled = whole.withColumn("_stats", stats.select(F.struct("*")).scalar())
-
-    def standard(name: str) -> Column:
-        spread = F.col(f"_stats.{name}.spread")
-        return (F.col(name) - F.col(f"_stats.{name}.mean")) / F.when(spread > 0, spread).otherwise(1.0)
-
-    return scaled.select(*keep, *[standard(n).alias(n) for n in features])
+    return scaled.select(
+        *keep,
+        *[
+            F.expr(f"(`{n}` - _stats.`{n}`.mean) / coalesce(_stats.`{n}`.spread, 1D) as `{n}`")
+            for n in features
+        ],
+    )
 
 
 def median_relation(df: DataFrame, features: list[str], key: str) -> DataFrame:
     """Whether each value of a row is above or below its column's median (equal is below)."""
     medians = column_medians(df, features).select(F.struct("*")).scalar()
     wide = df.select(key, *features).withColumn("_medians", medians)
-    cells = [
-        F.struct(
-            F.lit(n).alias("feature"),
-            F.col(n).cast("double").alias("value"),
-            F.col(f"_medians.{n}").alias("median"),
-        )
+    cells = ", ".join(
+        f"struct('{n}' as feature, cast(`{n}` as double) as value, _medians.`{n}` as median)"
         for n in features
-    ]
+    )
     relation = F.when(F.col("value") > F.col("median"), "above").otherwise("below")
-    return wide.select(key, F.inline(F.array(*cells))).withColumn("relation", relation)
+    return wide.select(key, F.expr(f"inline(array({cells}))")).withColumn("relation", relation)

@@ -28,7 +28,7 @@ def linear_drivers(df: DataFrame, card: Scorecard, key: str, keep: list[str] | N
     For a linear score with independent features this is the exact Shapley value.
     """
     names = list(card.coefficients)
-    means = df.agg(*[F.avg(F.col(n).cast("double")).alias(n) for n in names])
+    means = df.agg(*[F.expr(f"avg(cast(`{n}` as double)) as `{n}`") for n in names])
     medians = column_medians(df, names)
     wide = df.select(key, *(keep or []), *names).withColumns(
         {
@@ -36,17 +36,12 @@ def linear_drivers(df: DataFrame, card: Scorecard, key: str, keep: list[str] | N
             "_medians": medians.select(F.struct("*")).scalar(),
         }
     )
-
-    def driver(name: str) -> Column:
-        value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-        part = F.lit(card.coefficients[name]) * (value - F.col(f"_means.{name}"))
-        above = F.when(F.col(name) > F.col(f"_medians.{name}"), "above").otherwise("below")
-        return F.struct(
-            F.lit(name).alias("feature"), part.alias("value"), above.alias("relation")
-        )
-
-    drivers = F.array(*[driver(n) for n in names])
-    return wide.select(key, *(keep or []), drivers.alias("drivers"))
+    drivers = ", ".join(
+        f"struct('{n}' as feature, {weight!r}D * (coalesce(cast(`{n}` as double), 0D) - _means.`{n}`)"
+        f" as value, case when `{n}` > _medians.`{n}` then 'above' else 'below' end as relation)"
+        for n, weight in card.coefficients.items()
+    )
+    return wide.select(key, *(keep or []), F.expr(f"array({drivers})").alias("drivers"))
 
 
 def attribution_long(df: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import as_col
+from ..session import reliable_checkpoint
 
 RANGES = 256
 LOOKUP_LIMIT = 10_000
@@ -100,16 +101,14 @@ def looked_up(df: DataFrame, name: str, lookup: Column, keys: list[str]) -> Data
 
 def by_feature(df: DataFrame, names: list[str], value: str) -> Column:
     """The value of each named feature as one struct (a scalar subquery), for wide rows."""
-    fields = [F.max(F.when(F.col("feature") == n, F.col(value))).alias(n) for n in names]
-    return df.agg(F.struct(*fields)).scalar()
+    fields = ", ".join(f"max(case when feature = '{n}' then {value} end) as `{n}`" for n in names)
+    return df.agg(F.expr(f"struct({fields})")).scalar()
 
 
 def long_values(df: DataFrame, names: list[str], keys: list[str]) -> DataFrame:
     """One row per table row and named column: keys, ``feature``, ``value`` (double)."""
-    cells = [
-        F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("value")) for n in names
-    ]
-    return df.select(*keys, F.inline(F.array(*cells)))
+    cells = ", ".join(f"struct('{n}' as feature, cast(`{n}` as double) as value)" for n in names)
+    return df.select(*keys, F.expr(f"inline(array({cells}))"))
 
 
 _SKETCH_ACCURACY, _SKETCH_MARGIN = 1000, 0.004
@@ -122,39 +121,34 @@ def exact_quantiles(
 
     A sketch first brackets every quantile; values outside the brackets are only counted per gap,
     so just the few values near a quantile are put in order. A rank outside its bracket raises.
+
+    Runs at once: the sketch and the result, a row per key and feature, are checkpointed, so that
+    a plan that uses them does not repeat these passes.
     """
     keys = keys or []
-    edges = [
-        [min(1.0, max(0.0, p + side * _SKETCH_MARGIN)) for p in sorted(probabilities)]
-        for side in (-1, 1)
-    ]
-    sketch = df.groupBy(*keys).agg(
-        *[
-            F.struct(
-                *[
-                    F.percentile_approx(F.col(n).cast("double"), e, _SKETCH_ACCURACY).alias(side)
-                    for side, e in zip(("low", "high"), edges)
-                ]
-            ).alias(f"_{n}")
-            for n in names
-        ]
+    numbers = df.select(*keys, *[F.expr(f"cast(`{n}` as double) as `{n}`") for n in names])
+
+    def sketched(name: str, side: int) -> str:
+        edges = [min(1.0, max(0.0, p + side * _SKETCH_MARGIN)) for p in sorted(probabilities)]
+        listed = ", ".join(f"{edge:.6f}D" for edge in edges)
+        return f"percentile_approx(`{name}`, array({listed}), {_SKETCH_ACCURACY})"
+
+    fields = ", ".join(
+        f"struct({sketched(n, -1)} as low, {sketched(n, 1)} as high) as `{n}`" for n in names
     )
-    brackets = small_lookup(sketch, keys, F.struct(*[F.col(f"_{n}").alias(n) for n in names]))
-    wide = looked_up(df.select(*keys, *names), "_bracket", brackets, keys)
-
-    def placed(name: str) -> Column:
-        value = F.col(name).cast("double")
-        low, high = F.col(f"_bracket.{name}.low"), F.col(f"_bracket.{name}.high")
-        lows = F.size(F.filter(low, lambda edge: edge <= value))
-        highs = F.size(F.filter(high, lambda edge: edge < value))
-        kept = F.when(lows > highs, value)
-        return F.struct(
-            F.lit(name).alias("feature"),
-            F.when(value.isNotNull(), F.struct((lows + highs).alias("part"), kept.alias("value")))
-            .alias("place"),
-        )
-
-    places = wide.select(*keys, F.inline(F.array(*[placed(n) for n in names])))
+    sketch = numbers.groupBy(*keys).agg(F.expr(f"struct({fields})").alias("bracket"))
+    brackets = small_lookup(reliable_checkpoint(sketch), keys, "bracket")
+    wide = looked_up(numbers, "_bracket", brackets, keys)
+
+    def placed(name: str) -> str:
+        lows = f"size(filter(_bracket.`{name}`.low, edge -> edge <= `{name}`))"
+        highs = f"size(filter(_bracket.`{name}`.high, edge -> edge < `{name}`))"
+        kept = f"case when {lows} > {highs} then `{name}` end"
+        place = f"struct({lows} + {highs} as part, {kept} as value)"
+        return f"struct('{name}' as feature, case when `{name}` is not null then {place} end as place)"
+
+    cells = ", ".join(placed(n) for n in names)
+    places = wide.select(*keys, F.expr(f"inline(array({cells}))"))
     counts = places.where(F.col("place").isNotNull()).groupBy(*keys, "feature", "place").agg(
         F.count("*").alias("n")
     )
@@ -180,7 +174,7 @@ def exact_quantiles(
         ).otherwise(missed.cast("double"))
 
     values = F.array(*[between(i, p) for i, p in enumerate(probabilities)])
-    return found.select(*keys, "feature", "n", values.alias("quantiles"))
+    return reliable_checkpoint(found.select(*keys, "feature", "n", values.alias("quantiles")))
 
 
 def rank_cutoff(
@@ -189,7 +183,8 @@ def rank_cutoff(
     """Per key, the order value of the ``take``-th row in order, as a lookup column.
 
     ``df`` has unique order values per key; ``takes`` has ``keys, take``. Ranges are counted,
-    and only rows of the one range where a key's cut-off lies are sorted.
+    and only rows of the one range where a key's cut-off lies are sorted. Runs at once: the
+    cut-offs, a row per key, are checkpointed, so using a split does not find them again.
     """
     rows = ranged if ranged is not None else with_range(df, keys, order)
     counts = rows.groupBy(*keys, "_range").agg(F.count("*").alias("n"))
@@ -202,7 +197,7 @@ def rank_cutoff(
     in_range = looked_up(rows, "_goal", goal, keys).where(F.col("_goal._range") == F.col("_range"))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
     last = in_range.withColumn("_place", place).where(F.col("_place") == F.col("_goal._left"))
-    return small_lookup(last, keys, order)
+    return small_lookup(reliable_checkpoint(last.select(*keys, order)), keys, order)
 
 
 def by_hash_prefix(df: DataFrame, order: str) -> DataFrame:

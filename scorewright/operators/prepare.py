@@ -11,10 +11,10 @@ from ..functions.labels import category_code
 from ..functions.scalar import (
     as_col,
     count_positive,
+    divide_text,
     inf_to_null,
+    mean_text,
     numeric,
-    row_mean,
-    safe_divide,
 )
 from ..schema import (
     APPLICANT_SCHEMA,
@@ -78,12 +78,20 @@ def norm_target(df: DataFrame, target: str = TARGET) -> DataFrame:
     return df.withColumn(target, F.coalesce(code, F.lit(0.0)).cast("int"))
 
 
-def bill_to_limit() -> dict[str, Column]:
-    return {name: safe_divide(bill, "LIMIT_BAL") for name, bill in zip(BILL_RATIOS, BILLS)}
+def bill_to_limit() -> dict[str, str]:
+    return {name: divide_text(bill, "LIMIT_BAL") for name, bill in zip(BILL_RATIOS, BILLS)}
 
 
-def avg_pay_to_bill() -> Column:
-    return row_mean([safe_divide(paid, F.abs(F.col(bill))) for paid, bill in zip(PAYMENTS, BILLS)])
+def averages() -> dict[str, str]:
+    """Row means, over the bill ratios and the base columns."""
+    paid = [divide_text(pay, f"abs({bill})") for pay, bill in zip(PAYMENTS, BILLS)]
+    return {
+        "AvgBillToLimitRatio": mean_text(BILL_RATIOS),
+        "AvgPaymentToBillRatio": mean_text(paid),
+        "AvgBillAmount": mean_text(BILLS),
+        "AvgPaymentAmount": mean_text(PAYMENTS),
+        "PaymentToLimitRatio": divide_text(mean_text(PAYMENTS), "LIMIT_BAL"),
+    }
 
 
 def delay_features() -> dict[str, Column]:
@@ -94,25 +102,15 @@ def delay_features() -> dict[str, Column]:
     }
 
 
-def avg_amounts() -> dict[str, Column]:
-    return {
-        "AvgBillAmount": row_mean(BILLS),
-        "AvgPaymentAmount": row_mean(PAYMENTS),
-        "PaymentToLimitRatio": safe_divide(row_mean(PAYMENTS), "LIMIT_BAL"),
-    }
-
-
 def add_features(df: DataFrame) -> DataFrame:
     """The 14 engineered columns, computed row by row; infinities become null."""
-    ratios = bill_to_limit()
-    features = {
-        **ratios,
-        "AvgBillToLimitRatio": row_mean(list(ratios.values())),
-        "AvgPaymentToBillRatio": avg_pay_to_bill(),
-        **avg_amounts(),
-    }
-    cleaned = {name: inf_to_null(value) for name, value in features.items()}
-    return df.withColumns({**cleaned, **delay_features()})
+    ratios = df.withColumns({name: inf_to_null(F.expr(f)) for name, f in bill_to_limit().items()})
+    return ratios.withColumns(
+        {
+            **{name: inf_to_null(F.expr(f)) for name, f in averages().items()},
+            **delay_features(),
+        }
+    )
 
 
 def date_parts(df: DataFrame, column: str = "LoanStartDate") -> DataFrame:

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +25,10 @@ class Scorecard:
 
     def log_odds(self) -> Column:
         terms = [
-            F.lit(weight) * F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+            f"{weight!r}D * coalesce(cast(`{name}` as double), 0D)"
             for name, weight in self.coefficients.items()
         ]
-        return reduce(add, terms, F.lit(self.intercept))
+        return F.expr(" + ".join([f"{self.intercept!r}D", *terms]))
 
     def probability(self) -> Column:
         return 1.0 / (1.0 + F.exp(-self.log_odds()))

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import scores, tables  # noqa: F401
+from . import choices, scores, tables  # noqa: F401
 from .registry import QUERIES, SQL

@@ -44,6 +44,12 @@ def rounded_features(names: list[str]) -> str:
     return ", ".join(f"{n if n in whole else r(n)} as {n}" for n in names)
 
 
+@query("applicants_view", q("select * from applicants"))
+def applicants_view(spark, sf):
+    """One row per applicant from customers, orders and line items, in one plan."""
+    return V.build_applicants(spark, sf)
+
+
 # --- sources and sinks -----------------------------------------------------------------------
 
 CUSTOMER_SCHEMA = (
@@ -258,7 +264,9 @@ def safe_divide_query(spark, sf):
 
 def _feature_query(name: str, columns: list[str]) -> None:
     sql = q(f"select applicant_id, {rounded_features(columns)} from features")
-    query(name, sql)(lambda spark, sf: rounded(V.features(spark, sf).select(KEY, *columns)))
+    query(name, sql)(
+        lambda spark, sf: rounded(P.add_features(V.applicants(spark, sf)).select(KEY, *columns))
+    )
 
 
 _feature_query("bill_to_limit", BILL_RATIOS)
