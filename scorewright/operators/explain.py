@@ -351,23 +351,23 @@ def local_surrogate(
 
 def counterfactual(
     queries: DataFrame, donors: DataFrame, scorer, features: list[str], spread: dict[str, float],
-    key: str, wanted: int = 3, masks: int = 4, pool: int = 50, threshold: float = 0.50,
+    key: str, context: list[str], wanted: int = 3, masks: int = 4, pool: int = 50, threshold: float = 0.50,
 ) -> DataFrame:
     """For every row, up to three changed versions with the opposite decision.
 
     Random features of the row take the values of observed rows (a pool of ``pool`` donors drawn
     by hash, kept as one small array); versions that flip the decision are ranked by how few
-    features changed, then by how far they moved.
+    features changed, then by how far they moved. ``context`` columns are never changed.
     """
     columns = [F.col(f).cast("double").alias(f) for f in features]
     given = sample_n(donors, pool, key).select(F.struct(*columns).alias("d"))
     donor_array = given.agg(F.collect_list("d")).scalar()
     base = scorer(queries).select(
-        key, *columns, (F.col("probability") >= threshold).alias("_was")
+        key, *context, *columns, (F.col("probability") >= threshold).alias("_was")
     )
     tall = base.withColumn("_donors", donor_array).select(
-        key, *features, "_was", F.posexplode("_donors").alias("donor", "d")
-    ).drop("_donors").withColumn(
+        key, *context, *features, "_was", F.posexplode("_donors").alias("donor", "d")
+    ).withColumn(
         "mask", F.explode(F.sequence(F.lit(0), F.lit(masks - 1)))
     )
 
@@ -385,16 +385,20 @@ def counterfactual(
         for f, new in changes.items()
     ]
     versions = tall.select(
-        key, "donor", "mask", "_was",
+        key, *context, "donor", "mask", "_was",
         sum(moved[1:], moved[0]).alias("changed_features"),
         sum(far[1:], far[0]).alias("distance"),
         *[new.alias(f) for f, new in changes.items()],
     )
-    flipped = scorer(versions).where((F.col("probability") >= threshold) != F.col("_was"))
+    # The flip is settled before the ranking, not filtered on: a filter would be pushed down and
+    # repeat the whole score formula. The rank limit keeps a few versions per row and task.
+    decided = scorer(versions).withColumn(
+        "_kept", (F.col("probability") >= threshold) == F.col("_was")
+    )
     place = F.row_number().over(
-        Window.partitionBy(key).orderBy("changed_features", "distance", "donor", "mask")
+        Window.partitionBy(key).orderBy("_kept", "changed_features", "distance", "donor", "mask")
     )
-    return flipped.withColumn("place", place).where(F.col("place") <= wanted).select(
+    best = decided.withColumn("place", place).where(F.col("place") <= wanted)
+    return best.where(~F.col("_kept")).select(
         key, "place", "changed_features", "distance", "probability", *features
     )
-

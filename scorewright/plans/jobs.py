@@ -276,9 +276,11 @@ def batch_score(spark, sf):
 def neighbour_pairs(spark, sf):
     """Nearest applicant of the other sex on scaled features, with both scores."""
     scaled = A.impute_scale(
-        V.features(spark, sf).withColumn("y_proba", V.rule_score(*V.RULES["delay_rule"])),
+        V.features(spark, sf)
+        .withColumn("y_proba", V.rule_score(*V.RULES["delay_rule"]))
+        .withColumnRenamed(TARGET, "y_true"),
         _FILLED,
-        [KEY, "SEX", F.col(TARGET).alias("y_true"), "y_proba"],
+        [KEY, "SEX", "y_true", "y_proba"],
     ).withColumnRenamed(KEY, "id")
     return N.cross_group_table(N.join_nearest(scaled, _FILLED, "SEX", (1, 2), ["y_proba", "y_true"]))
 
@@ -540,13 +542,9 @@ def counterfactual(spark, sf):
     names = ["LIMIT_BAL", *PAY_STATUS, *BILLS, *PAYMENTS]
     spread = {n: 1000.0 if n not in PAY_STATUS else 1.0 for n in names}
     fixed = [n for n in BASE if n not in names]
-    people = table.select(KEY, *fixed)
-
-    def scorer(df):
-        whole = df if set(fixed) <= set(df.columns) else df.join(people, KEY)
-        return CARD(whole)
-
-    return E.counterfactual(table, table, scorer, names, spread, KEY, pool=20, masks=3, threshold=REVIEW)
+    return E.counterfactual(
+        table, table, CARD, names, spread, KEY, fixed, pool=20, masks=3, threshold=REVIEW
+    )
 
 
 # --- scenarios -------------------------------------------------------------------------------
