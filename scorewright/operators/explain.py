@@ -359,36 +359,38 @@ def counterfactual(
     by hash, kept as one small array); versions that flip the decision are ranked by how few
     features changed, then by how far they moved. ``context`` columns are never changed.
     """
-    columns = [F.col(f).cast("double").alias(f) for f in features]
-    given = sample_n(donors, pool, key).select(F.struct(*columns).alias("d"))
-    donor_array = given.agg(F.collect_list("d")).scalar()
+    own = "array(" + ", ".join(f"cast(`{f}` as double)" for f in features) + ")"
+    scale = "array(" + ", ".join(f"{float(spread.get(f) or 1.0)!r}D" for f in features) + ")"
+    drawn = sample_n(donors, pool, key).select(F.expr(own).alias("d"))
     base = scorer(queries).select(
-        key, *context, *columns, (F.col("probability") >= threshold).alias("_was")
+        key,
+        *context,
+        F.expr(own).alias("own"),
+        (F.col("probability") >= threshold).alias("_was"),
     )
-    tall = base.withColumn("_donors", donor_array).select(
-        key, *context, *features, "_was", F.posexplode("_donors").alias("donor", "d")
-    ).withColumn(
-        "mask", F.explode(F.sequence(F.lit(0), F.lit(masks - 1)))
+    tall = (
+        base.withColumn("_donors", drawn.agg(F.collect_list("d")).scalar())
+        .select(key, *context, "own", "_was", F.posexplode("_donors").alias("donor", "d"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(masks - 1))).alias("mask"))
     )
-
-    def taken(position: int) -> Column:
-        draw = F.pmod(F.xxhash64(F.col(key), "donor", "mask", F.lit(position)), F.lit(1000))
-        return draw < 150 * (F.col("mask") + 1)
-
-    changes = {
-        f: F.when(taken(i) & F.col(f"d.{f}").isNotNull(), F.col(f"d.{f}")).otherwise(F.col(f))
-        for i, f in enumerate(features)
-    }
-    moved = [F.when(~F.col(f).eqNullSafe(new), 1).otherwise(0) for f, new in changes.items()]
-    far = [
-        F.coalesce(F.abs(new - F.col(f)) / (spread.get(f) or 1.0), F.lit(0.0))
-        for f, new in changes.items()
-    ]
-    versions = tall.select(
-        key, *context, "donor", "mask", "_was",
-        sum(moved[1:], moved[0]).alias("changed_features"),
-        sum(far[1:], far[0]).alias("distance"),
-        *[new.alias(f) for f, new in changes.items()],
+    taken = f"pmod(xxhash64(`{key}`, donor, mask, i), 1000) < 150 * (mask + 1)"
+    mixed = tall.withColumn(
+        "new", F.expr(f"transform(own, (x, i) -> if({taken}, coalesce(get(d, i), x), x))")
+    )
+    moves = "zip_with(own, new, (a, b) -> coalesce(abs(b - a), 0D))"
+    versions = mixed.select(
+        key,
+        *context,
+        "donor",
+        "mask",
+        "_was",
+        F.expr("size(filter(zip_with(own, new, (a, b) -> a <=> b), same -> not same))").alias(
+            "changed_features"
+        ),
+        F.expr(
+            f"aggregate(zip_with({moves}, {scale}, (gap, unit) -> gap / unit), 0D, (s, x) -> s + x)"
+        ).alias("distance"),
+        *[F.col("new")[i].alias(f) for i, f in enumerate(features)],
     )
     # The flip is settled before the ranking, not filtered on: a filter would be pushed down and
     # repeat the whole score formula. The rank limit keeps a few versions per row and task.
