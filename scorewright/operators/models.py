@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import PAY_STATUS, TARGET, UTILISATION_FEATURES
+from ..session import reliable_checkpoint
 from .confusion import Policy, classification_report, confusion, threshold_grid
 from .curves import ranking_metrics
 from .fairness import fairness_metrics4
@@ -325,11 +326,11 @@ def recall_optimise(
         tags = {"position": F.lit(position), "class_weight": F.lit(float(weight))}
         return union_frames(parts).withColumns(tags)
 
-    scores = union_frames(
-        fit_many(
-            {str(w): lambda i=i, w=w: candidate(i, w) for i, w in enumerate(weights)}, at_once
-        )
+    parts = fit_many(
+        {str(w): lambda i=i, w=w: candidate(i, w) for i, w in enumerate(weights)}, at_once
     )
+    # Written once: the grids and areas below read the predictions, not the models.
+    scores = reliable_checkpoint(union_frames(parts))
     keys = ["model_name", "position", "class_weight"]
     validation, test = (scores.where(F.col("split") == s) for s in ("validation", "test"))
     grid = threshold_grid(validation, keys)

@@ -131,6 +131,8 @@ def nearest(
     left = _spread(sources, "source_part", source_parts, "target_part", target_parts, columns)
     right = _spread(sent, "target_part", target_parts, "source_part", source_parts, columns)
     keys = ["cell", "source_part", "target_part"]
+    # Own names for the target columns: both sides may come from one table.
+    right = right.select(*[F.col(c).alias(f"to_{c}") for c in columns], *keys)
 
     def best_in_block(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         return pd.concat(_block_matches(rows, others, payload, k, exclude_self))
@@ -165,8 +167,8 @@ def _block_matches(
     if rows.empty or others.empty:
         yield pd.DataFrame({name: [] for name in names})
         return
-    others = others.sort_values("id", ignore_index=True)
-    right, right_ids = _matrix(others["vector"]), others["id"].to_numpy()
+    others = others.sort_values("to_id", ignore_index=True)
+    right, right_ids = _matrix(others["to_vector"]), others["to_id"].to_numpy()
     for start in range(0, len(rows), 256):
         part = rows.iloc[start : start + 256]
         distances = _squared(_matrix(part["vector"]), right)
@@ -185,7 +187,7 @@ def _block_matches(
         match = {"id": ids[at], "neighbour_id": right_ids[hit], "distance": found[real]}
         for name in payload:
             match[name] = part[name].to_numpy(dtype=float)[at]
-            match[f"neighbour_{name}"] = others[name].to_numpy(dtype=float)[hit]
+            match[f"neighbour_{name}"] = others[f"to_{name}"].to_numpy(dtype=float)[hit]
         yield pd.DataFrame(match, columns=names)
 
 
