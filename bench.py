@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from scorewright.plans import catalogue, views
@@ -33,6 +34,7 @@ def main() -> None:
         start = time.time()
         catalogue.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - start, 3)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     print(
         json.dumps(
             {

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.labels import group_label, sex_code, sex_group
 from ..functions.scalar import hash_order
+from ..session import reliable_checkpoint
 from .ordering import by_hash_prefix, rank_cutoff
 
 MAX_PIVOTS = 1024
@@ -194,10 +195,17 @@ def _block_matches(
 def join_nearest(
     df: DataFrame, features: list[str], group: str, codes: tuple[int, int], payload: list[str]
 ) -> DataFrame:
-    """For every row of either group the nearest row of the other group, on complete features."""
-    vectors = df.select(
-        "id", group, F.array(*[F.col(n).cast("double") for n in features]).alias("vector"),
-        *[F.col(p).cast("double").alias(p) for p in payload],
+    """For every row of either group the nearest row of the other group, on complete features.
+
+    The vectors are checkpointed first, as the search passes over them several times.
+    """
+    vectors = reliable_checkpoint(
+        df.select(
+            "id",
+            group,
+            F.array(*[F.col(n).cast("double") for n in features]).alias("vector"),
+            *[F.col(p).cast("double").alias(p) for p in payload],
+        )
     )
     sides = []
     for here, there in (codes, codes[::-1]):
@@ -248,6 +256,7 @@ def oversample_minority(
         F.array(*[F.col(n).cast("double") for n in features]).alias("vector"),
         *[F.col(n).cast("double").alias(n) for n in features],
     )
+    minority = reliable_checkpoint(minority)
     near = nearest(minority, minority, features, k=k, exclude_self=True)
     sizes = df.agg(
         F.count_if(F.col(target) == 0).alias("zeros"), F.count_if(F.col(target) == 1).alias("ones")
