@@ -17,8 +17,8 @@ HEADLINES = [
     "headline", "applicants_view", "classification_report", "roc_auc_lineitem", "pr_curve",
     "threshold_grid", "join_cross_grid", "group_outcome", "fairness_ext", "threshold_frontier",
     "calibration_bins", "profile_lineitem", "feature_target_corr", "mutual_info_target",
-    "feature_group_assoc", "reweigh", "selection_summary", "split_group_stratified",
-    "split_temporal", "overlap_check", "join_nearest", "topk_drivers", "scenario_exposure",
+    "reweigh", "selection_summary", "split_group_stratified",
+    "split_temporal", "overlap_check", "topk_drivers", "scenario_exposure",
     "sensitivity_flip",
 ]
 
