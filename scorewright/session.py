@@ -27,11 +27,20 @@ def local_session(cores: int | str = 8, app: str = "scorewright") -> SparkSessio
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and hand-over tables, as the cluster names it.
 
-    Only a session without the setting (a test on one machine) gets a folder of its own.
+    That is spark.checkpoint.dir, else the context's checkpoint folder. Only a session on one machine
+    without either, as in tests, gets a folder of its own; on a cluster that is an error, as its
+    machines share no temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="scorewright-")
+        context = spark.sparkContext
+        named = context._jsc.sc().getCheckpointDir()
+        if named.isDefined():
+            folder = named.get()
+        elif context.master.startswith("local[") or context.master == "local":
+            folder = tempfile.mkdtemp(prefix="scorewright-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
