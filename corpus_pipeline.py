@@ -55,7 +55,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; each secret in their texts is replaced by a mark, and n_chars follows."""
     cuts = secret_scan.cut_offs(docs.select(F.coalesce("text", F.lit("")).alias("text")), 0.01)
-    rows = docs.select(*COLUMNS).withColumn("_spans", secret_scan.secret_spans(F.coalesce("text", F.lit("")), cuts))
+    rows = secret_scan.with_spans(docs.select(*COLUMNS).withColumn("_text", F.coalesce("text", F.lit(""))), "_text", "_spans", cuts)
     rows = rows.withColumn("text", secret_scan.redacted(F.col("text"), F.col("_spans")))
     return rows.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 

@@ -35,34 +35,40 @@ CODES = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_="
 TEXT_SHARE, TEXT_CHANGES, TEXT_SERIAL = 0.065, 0.15, 0.3
 #: Tenths of -log10 p that are told apart.
 TOP = 200
-_SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
+_SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
 
 def _found(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
-    """Spans of all matches, leftmost first, in code points: what lies between matches tells the places."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    sizes = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole)), whole, lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("n")))
-    sizes = F.zip_with(sizes, part, lambda s, p: F.struct(s["gap"].alias("gap"), s["n"].alias("n"), p.alias("part")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,part:string>>").alias("out"))
+    """Spans of all matches with their text (`part`), leftmost first, in code points.
+
+    What lies between the matches tells their places."""
+    empty = "array<struct<start:int,rank:int,end:int,kind:string,part:string>>"
+    sizes = F.zip_with(
+        F.split(text, pattern, -1),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("n"), m.alias("part")),
+    )
+    if group:
+        part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        sizes = F.zip_with(sizes, part, lambda s, p: F.struct(s["gap"].alias("gap"), s["n"].alias("n"), p.alias("part")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(empty).alias("out"))
 
     def step(state: Column, s: Column) -> Column:
-        begin = state["at"] + s["gap"]
-        end = begin + s["n"]
+        begin, end = state["at"] + s["gap"], state["at"] + s["gap"] + s["n"]
         span = F.struct(
-            begin.cast("int").alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.cast("int").alias("end"), F.lit(kind).alias("kind"), s["part"].alias("part")
+            begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), s["part"].alias("part")
         )
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+        # the last gap has no match behind it
+        return F.when(s["n"].isNull(), state).otherwise(F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out")))
 
     spans = F.aggregate(sizes, start, step, lambda state: state["out"])
     if least:
         spans = F.filter(spans, lambda s: F.length(s["part"]) >= least)
-    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,part:string>>")
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(empty))
 
 
 def _bare(spans: Column) -> Column:
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))).cast(_SPAN)
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")).cast(_SPAN))
 
 
 def base_spans(text: Column) -> Column:
@@ -71,43 +77,65 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[_bare(p) for p in parts]))
 
 
-def evidence(token: Column) -> Column:
-    """Tenths of -log10 of the combined p-value of a token, 0 to 200; 0 for digits alone."""
-    token = F.rtrim(token, F.lit("="))
-    size = F.lit(float(WIDEST))
-    for pattern, letters in reversed(ALPHABETS):
-        size = F.when(token.rlike(pattern), F.lit(float(letters))).otherwise(size)
-    n = F.length(token).cast("double")
-    chars = F.split(token, "")
-    chars = F.filter(chars, lambda c: c != "")
-    squares = F.aggregate(
-        F.array_distinct(chars), F.lit(0.0),
-        lambda total, c: total + F.pow(F.size(F.filter(chars, lambda x: x == c)).cast("double"), F.lit(2.0)),
-    )
-    chi = size / n * squares - n
-    apart = F.greatest(size * TEXT_SHARE - 1, F.lit(0.5)) * n
-    z_chi = (chi - (size - 1 + apart)) / F.sqrt(2 * (size - 1 + 2 * apart))
-    runs = token
-    for many, one in (("[a-z]+", "a"), ("[A-Z]+", "A"), ("[0-9]+", "0"), ("[^a-zA-Z0-9]+", "+")):
-        runs = F.regexp_replace(runs, many, one)
-    changes = F.length(runs).cast("double") - 1
-    z_runs = F.when(size == 26, F.lit(0.0)).otherwise(
-        -(changes - (n - 1) * TEXT_CHANGES) / F.sqrt((n - 1) * (TEXT_CHANGES * (1 - TEXT_CHANGES)))
-    )
-    codes = F.transform(chars, lambda c: F.instr(F.lit(CODES), c).cast("double"))
-    mean = F.aggregate(codes, F.lit(0.0), lambda a, c: a + c) / n
-    centred = F.transform(codes, lambda c: c - mean)
-    spread = F.aggregate(centred, F.lit(0.0), lambda a, c: a + c * c)
-    paired = F.zip_with(F.slice(centred, 1, F.size(centred) - 1), F.slice(centred, 2, F.size(centred) - 1), lambda a, b: a * b)
-    serial = F.aggregate(paired, F.lit(0.0), lambda a, c: a + c) / F.when(spread > 0, spread)
-    z_serial = (F.abs(F.coalesce(serial, F.lit(1.0))) - TEXT_SERIAL) * F.sqrt(n)
-    z = (2 * z_chi + 2 * z_runs + z_serial) / 3
-    # the normal distribution's lower tail by a logistic of a cubic: -ln p = ln(1 + exp(w))
-    w = -(1.5976 * z + 0.07056 * z * z * z)
-    tenths = F.when(w > 30, w).otherwise(F.log1p(F.exp(F.least(w, F.lit(30.0))))) / F.log(F.lit(10.0)) * 10
-    return F.when(
-        (n >= 2) & (size != 10), F.floor(F.greatest(F.lit(0.0), F.least(tenths, F.lit(float(TOP))))).cast("int")
-    ).otherwise(F.lit(0))
+def evidence(spans: Column) -> Column:
+    """The spans (start, end, part) with `tenths`: tenths of -log10 of the part's combined p-value, 0 to 200.
+
+    Digits alone have none. The steps are transforms of one array, each computed once."""
+    keep = lambda s: [s["start"].alias("start"), s["end"].alias("end")]
+
+    def alphabet(s: Column) -> Column:
+        size = F.lit(float(WIDEST))
+        for pattern, letters in reversed(ALPHABETS):
+            size = F.when(s["token"].rlike(pattern), F.lit(float(letters))).otherwise(size)
+        runs = s["token"]
+        for many, one in (("[a-z]+", "a"), ("[A-Z]+", "A"), ("[0-9]+", "0"), ("[^a-zA-Z0-9]+", "+")):
+            runs = F.regexp_replace(runs, many, one)
+        chars = F.filter(F.split(s["token"], ""), lambda c: c != "")
+        return F.struct(
+            *keep(s), size.alias("size"), F.length(s["token"]).cast("double").alias("n"),
+            (F.length(runs).cast("double") - 1).alias("changes"), F.transform(chars, lambda c: F.instr(F.lit(CODES), c).cast("double")).alias("codes"),
+        )
+
+    def sums(s: Column) -> Column:
+        codes = s["codes"]
+        squares = F.aggregate(
+            F.array_distinct(codes), F.lit(0.0),
+            lambda total, c: total + F.pow(F.size(F.filter(codes, lambda x: x == c)).cast("double"), F.lit(2.0)),
+        )
+        mean = F.aggregate(codes, F.lit(0.0), lambda total, c: total + c) / F.greatest(s["n"], F.lit(1.0))
+        return F.struct(
+            *keep(s), s["size"].alias("size"), s["n"].alias("n"), s["changes"].alias("changes"), squares.alias("squares"),
+            F.transform(codes, lambda c: c - mean).alias("centred"),
+        )
+
+    def scores(s: Column) -> Column:
+        size, n, centred = s["size"], F.greatest(s["n"], F.lit(2.0)), s["centred"]
+        chi = size / n * s["squares"] - n
+        apart = F.greatest(size * TEXT_SHARE - 1, F.lit(0.5)) * n
+        z_chi = (chi - (size - 1 + apart)) / F.sqrt(2 * (size - 1 + 2 * apart))
+        z_runs = F.when(size == 26, F.lit(0.0)).otherwise(
+            -(s["changes"] - (n - 1) * TEXT_CHANGES) / F.sqrt((n - 1) * (TEXT_CHANGES * (1 - TEXT_CHANGES)))
+        )
+        spread = F.aggregate(centred, F.lit(0.0), lambda total, c: total + c * c)
+        pairs = F.zip_with(centred, F.slice(centred, 2, F.greatest(F.size(centred) - 1, F.lit(0))), lambda x, y: F.coalesce(x * y, F.lit(0.0)))
+        serial = F.aggregate(pairs, F.lit(0.0), lambda total, c: total + c) / F.when(spread > 0, spread)
+        z_serial = (F.abs(F.coalesce(serial, F.lit(1.0))) - TEXT_SERIAL) * F.sqrt(n)
+        return F.struct(
+            *keep(s), ((s["n"] >= 2) & (size != 10)).alias("tested"), ((2 * z_chi + 2 * z_runs + z_serial) / 3).alias("z"),
+        )
+
+    def logarithm(s: Column) -> Column:
+        # the normal distribution's lower tail by a logistic of a cubic: -ln p = ln(1 + exp(w))
+        w = -(s["z"] * 1.5976 + s["z"] * s["z"] * s["z"] * 0.07056)
+        tenths = F.when(w > 30, w).otherwise(F.log1p(F.exp(F.least(w, F.lit(30.0))))) / F.log(F.lit(10.0)) * 10
+        return F.struct(
+            *keep(s), F.when(s["tested"], F.floor(F.least(tenths, F.lit(float(TOP)))).cast("int")).otherwise(F.lit(0)).alias("tenths")
+        )
+
+    tokens = F.transform(spans, lambda s: F.struct(*keep(s), F.rtrim(s["part"], F.lit("=")).alias("token")))
+    for step in (alphabet, sums, scores, logarithm):
+        tokens = F.transform(tokens, step)
+    return tokens
 
 
 def _length_class(n: Column) -> Column:
@@ -119,9 +147,9 @@ def _length_class(n: Column) -> Column:
 
 def cut_offs(texts: DataFrame, rate: float) -> dict[int, int]:
     """Length class -> least evidence of a discovery, from all candidates of the table's `text`."""
-    tokens = texts.select(F.explode(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).alias("token"))
+    tested = texts.select(F.explode(evidence(_found(F.col("text"), "random", CANDIDATE))).alias("c"))
     counted = (
-        tokens.select(_length_class(F.length("token")).alias("length"), evidence(F.col("token")).alias("tenths"))
+        tested.select(_length_class(F.col("c.end") - F.col("c.start")).alias("length"), "c.tenths")
         .groupBy("length", "tenths")
         .count()
         .collect()  # at most 5 x 201 rows
@@ -137,16 +165,22 @@ def cut_offs(texts: DataFrame, rate: float) -> dict[int, int]:
     return cuts
 
 
-def secret_spans(text: Column, cuts: dict[int, int]) -> Column:
-    """All spans of a text, sorted by start, then kind: the base ones, and random ones apart from them."""
-    base = base_spans(text)
+def with_spans(df: DataFrame, text: str, spans: str, cuts: dict[int, int]) -> DataFrame:
+    """The table with a column of all spans of a text, sorted by start, then kind: the base ones, and the
+    random ones apart from them. Adds and drops two columns beside it, named after `spans`."""
+    base, random = f"{spans}_base", f"{spans}_random"
     cut = F.create_map(*[F.lit(x) for pair in sorted(cuts.items()) for x in pair])
-    random = F.filter(
-        _found(text, "random", CANDIDATE),
-        lambda s: evidence(s["part"]) >= cut[_length_class(F.length(s["part"]))],
+    df = df.withColumn(base, base_spans(F.col(text))).withColumn(random, evidence(_found(F.col(text), "random", CANDIDATE)))
+    chosen = F.filter(
+        random,
+        lambda r: (r["tenths"] >= cut[_length_class(r["end"] - r["start"])])
+        & ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
+    )
+    kind = KINDS.index("random")
+    chosen = F.transform(
+        chosen, lambda r: F.struct(r["start"].alias("start"), F.lit(kind).alias("rank"), r["end"].alias("end"), F.lit("random").alias("kind")).cast(_SPAN)
     )
-    random = F.filter(_bare(random), lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return F.array_sort(F.concat(base, random))
+    return df.withColumn(spans, F.array_sort(F.concat(F.col(base), chosen))).drop(base, random)
 
 
 def find_secrets(docs: DataFrame, rate: float = 0.01, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,8 +191,7 @@ def find_secrets(docs: DataFrame, rate: float = 0.01, id_col: str = "doc_id", te
     table gives no rows. Whole texts are scanned; the cut-offs come from all candidates of the table.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cuts = cut_offs(texts, rate)
-    return texts.select("doc_id", "text", secret_spans(F.col("text"), cuts).alias("spans"))
+    return with_spans(texts, "text", "spans", cut_offs(texts, rate))
 
 
 def written(spans: Column) -> Column:
