@@ -1,14 +1,15 @@
 """N-gram Jaccard join by T-occurrence search.
 
 A document is the set of its word shingles. Two sets of sizes m and n reach the similarity only if they
-share T = ceil(t * max(m, n)) shingles, so of the lists that a document's shingles open, all but the T - 1
-longest must be merged: a partner occurs at least once in the short ones (the DivideSkip split). The short
+share T shingles, so of the lists that a document's shingles open, all but the L longest must be merged: a
+partner occurs at least T - L times in the short ones (the DivideSkip split). The short
 lists are merged by a shuffle on the shingle; the long ones are probed afterwards by binary search in the
 partner's sorted set, which gives the exact overlap.
 
 What keeps it linear where copies abound:
 
 * equal sets are one class, found with map-side combine, before any list is opened;
+* a pair is probed only if it has the T - L common entries in short lists that its sizes ask for;
 * a list first links its members to its smallest one only, a star instead of all pairs;
 * pairs are asked for only where a list still holds several components; stars between the components'
   smallest members come first, until they yield nothing, and the rest is asked in full.
@@ -35,6 +36,8 @@ from .graph import components
 CELLS, BLOCKS = 1 << 20, 64
 #: A list of more members than this, by the sketch, is dealt over several tasks.
 LONG_LIST = 50_000
+#: Classes whose texts are fetched by a broadcast of their ids; more are fetched by a shuffle.
+MAX_WANTED = 500_000
 
 
 def _cells(hashes: np.ndarray) -> np.ndarray:
@@ -157,38 +160,40 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     signed_docs = stored(_signatures(texts, size, percent), "signatures")
-    classes = (
-        signed_docs.filter("n > 0")
+    short = F.first(F.struct("n", "short", "parts")).alias("s")
+    entries = (
+        signed_docs.filter("n > 0 and doc_id is not null")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first(F.struct("short", "parts")).alias("s"))
-    )
-    entries = classes.filter("first_id is not null").select(
-        "node", "n", "first_id", F.explode(F.arrays_zip("s.short", "s.parts")).alias("e")
-    ).select(
-        "node", "n", "first_id", F.col("e.short").alias("shingle"), F.col("e.parts").alias("parts"),
-        F.pmod(F.col("node"), F.col("e.parts")).alias("part"),
+        .agg(short)
+        .select("node", F.col("s.n").cast("int").alias("n"), F.explode(F.arrays_zip("s.short", "s.parts")).alias("e"))
+        .select("node", "n", F.col("e.short").alias("shingle"), F.col("e.parts").alias("parts"))
+        .select("shingle", "node", "n", F.when(F.col("parts") > 1, F.pmod("node", "parts").cast("int")).alias("part"))
     )
     of_list = Window.partitionBy("shingle", "part")
     entries = entries.select(
-        "shingle", "node", "n", "first_id", "parts",
-        F.min("node").over(of_list).alias("hub"), F.max("node").over(of_list).alias("last"),
-    ).filter("hub <> last or parts > 1")
+        "shingle", "part", "node", "n", F.min(F.struct("node", "n")).over(of_list).alias("hub"), F.max("node").over(of_list).alias("last")
+    ).filter("hub.node <> last or part is not null")
     entries = stored(entries.drop("last"), "lists")
-
-    wanted = entries.select("node", "first_id").distinct()
-    sets = stored(_class_texts(texts, wanted, size), "sets")
-
-    tops = entries.filter("parts > 1").groupBy("shingle").agg(F.min("hub").alias("top"))
-    pairs = entries.select(F.col("hub").alias("x"), F.col("node").alias("y")).union(
-        entries.filter("parts > 1").join(tops, "shingle").select("top", "hub")
+    classes = stored(
+        signed_docs.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "classes"
     )
-    asked, links, roots = None, None, None
+
+    hot = entries.filter("part is not null")
+    tops = hot.groupBy("shingle").agg(F.min("hub").alias("top"))
+    stars = entries.select(F.col("hub").alias("x"), F.struct("node", "n").alias("y"))
+    stars = stars.union(hot.select("shingle", "hub").distinct().join(tops, "shingle").select("top", "hub"))
+    pairs = _counted(stars, percent, 4)
+    asked, links, roots, sets = None, None, None, None
     in_full = False
     while True:
-        pairs = pairs.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        if sets is not None:
+            wanted = wanted.join(sets.select("node"), "node", "left_anti")
+        fetched = stored(_class_texts(texts, stored(wanted.join(classes, "node"), "wanted"), size), "sets")
+        sets = fetched if sets is None else sets.union(fetched)
         found = stored(_verified(pairs, sets, size, percent), "links")
         more = roots is None or bool(found.take(1))
         asked = pairs if asked is None else asked.union(pairs)
@@ -199,24 +204,22 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
             break
         in_full = not more  # a round of stars that found nothing
         members = entries.join(roots, "node", "left").select(
-            "shingle", "node", "n", F.coalesce("root", "node").alias("root")
+            "shingle", F.struct("node", "n").alias("x"), F.coalesce("root", "node").alias("root")
         )
         mixed = members.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
         members = members.join(mixed.select("shingle", "lo"), "shingle")
         if in_full:
-            other = members.select("shingle", F.col("node").alias("y"), F.col("n").alias("m"), F.col("root").alias("other"))
+            other = members.select("shingle", F.col("x").alias("y"), F.col("root").alias("other"))
             pairs = members.join(other, "shingle").filter(
-                f"root < other and 100 * least(n, m) >= {percent} * greatest(n, m)"
-            ).select(F.col("node").alias("x"), "y")
+                f"root < other and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
+            )
+            pairs = _counted(pairs.select("x", "y"), percent, 1)
         else:
-            firsts = members.groupBy("shingle", "root").agg(F.min("node").alias("x"), F.first("lo").alias("lo"))
+            firsts = members.groupBy("shingle", "root", "lo").agg(F.min("x").alias("x"))
             hub = firsts.filter("root = lo").select("shingle", F.col("x").alias("y"))
-            pairs = firsts.filter("root <> lo").join(hub, "shingle").select("x", "y")
+            pairs = _counted(firsts.filter("root <> lo").join(hub, "shingle").select("x", "y"), percent, 4)
 
-    named = classes.select("node", "first_id").join(roots, "node", "left").select(
-        "node", "first_id", F.coalesce("root", "node").alias("root")
-    )
-    named = stored(named, "classes")
+    named = classes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = named.join(smallest, "root").select("node", "component_id")
     return (
@@ -226,6 +229,20 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     )
 
 
+def _counted(pairs: DataFrame, percent: int, ease: int) -> DataFrame:
+    """(a, b): pairs of structs x and y (node, n) with enough common entries in their short lists.
+
+    Two sets of sizes n and m that reach the similarity share T = ceil(t (n + m) / (1 + t)) shingles, all but
+    L = ceil(t max(n, m)) - 1 of them in the short lists of either: at least T - L common entries. Where a star
+    shows only some of a pair's common entries, one in `ease` is enough.
+    """
+    x, y = F.col("x"), F.col("y")
+    both = pairs.filter("x.node <> y.node").select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
+    counted = both.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
+    needed = f"ceil({percent} * (n + m) / {100 + percent}) - ceil({percent} * greatest(n, m) / 100) + 1"
+    return counted.filter(f"100 * least(n, m) >= {percent} * greatest(n, m) and c * {ease} >= {needed}").select("a", "b")
+
+
 def _class_texts(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(node, text): a text for each wanted class. Where rows repeat an id, only the class's own text stays."""
 
@@ -237,8 +254,9 @@ def _class_texts(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             ]
             yield batch.filter(pa.array(right, pa.bool_()))
 
+    few = wanted.count() <= MAX_WANTED  # two longs each
     return (
-        texts.join(wanted, texts["doc_id"] == wanted["first_id"])
+        texts.join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("first_id"))
         .select("node", "text")
         .mapInArrow(own, "node long, text binary")
     )
