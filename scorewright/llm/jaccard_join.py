@@ -182,7 +182,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     tops = hot.groupBy("shingle").agg(F.min("hub").alias("top"))
     stars = entries.select(F.col("hub").alias("x"), F.struct("node", "n").alias("y"))
     stars = stars.union(hot.select("shingle", "hub").distinct().join(tops, "shingle").select("top", "hub"))
-    pairs = _counted(stars, percent, 4)
+    pairs = _counted(stars, percent, star=True)
     asked, links, roots, sets = None, None, None, None
     in_full = False
     while True:
@@ -213,11 +213,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
             pairs = members.join(other, "shingle").filter(
                 f"root < other and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
             )
-            pairs = _counted(pairs.select("x", "y"), percent, 1)
+            pairs = _counted(pairs.select("x", "y"), percent, star=False)
         else:
             firsts = members.groupBy("shingle", "root", "lo").agg(F.min("x").alias("x"))
-            hub = firsts.filter("root = lo").select("shingle", F.col("x").alias("y"))
-            pairs = _counted(firsts.filter("root <> lo").join(hub, "shingle").select("x", "y"), percent, 4)
+            hub = firsts.filter("root = lo").select("shingle", F.col("x").alias("hub"))
+            stars = firsts.filter("root <> lo").join(hub, "shingle").select(F.col("hub").alias("x"), F.col("x").alias("y"))
+            pairs = _counted(stars, percent, star=True)
 
     named = classes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -229,18 +230,23 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     )
 
 
-def _counted(pairs: DataFrame, percent: int, ease: int) -> DataFrame:
+def _counted(pairs: DataFrame, percent: int, star: bool) -> DataFrame:
     """(a, b): pairs of structs x and y (node, n) with enough common entries in their short lists.
 
     Two sets of sizes n and m that reach the similarity share T = ceil(t (n + m) / (1 + t)) shingles, all but
-    L = ceil(t max(n, m)) - 1 of them in the short lists of either: at least T - L common entries. Where a star
-    shows only some of a pair's common entries, one in `ease` is enough.
+    L = ceil(t max(n, m)) - 1 of them in the short lists of either: at least T - L common entries. A star shows
+    only some of a pair's common entries: there a quarter is enough, and y asks its best hub x only.
     """
-    x, y = F.col("x"), F.col("y")
-    both = pairs.filter("x.node <> y.node").select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
-    counted = both.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
+    pairs = pairs.filter("x.node <> y.node")
+    if not star:
+        x, y = F.col("x"), F.col("y")
+        pairs = pairs.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
+    counted = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
     needed = f"ceil({percent} * (n + m) / {100 + percent}) - ceil({percent} * greatest(n, m) / 100) + 1"
-    return counted.filter(f"100 * least(n, m) >= {percent} * greatest(n, m) and c * {ease} >= {needed}").select("a", "b")
+    enough = counted.filter(f"100 * least(n, m) >= {percent} * greatest(n, m) and c * {4 if star else 1} >= {needed}")
+    if star:
+        enough = enough.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a"))
+    return enough.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _class_texts(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
