@@ -130,7 +130,7 @@ def build_index(texts: DataFrame, shared) -> tuple[DataFrame, DataFrame]:
     return postings, segments.select("doc_id", "row", "n_words")
 
 
-def search(windows: DataFrame, postings: DataFrame, frequencies: DataFrame, open_lists: int = 3, slop: int = 0) -> DataFrame:
+def search(windows: DataFrame, postings: DataFrame, frequencies: DataFrame, open_lists: int = 2, slop: int = 0) -> DataFrame:
     """(window, doc_id, row, start, distance): documents where the window's rarest terms stand as in it.
 
     distance is how far the starts that the terms suggest lie apart; 0 for a phrase candidate, at most
@@ -184,7 +184,7 @@ def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     size: int = 10,
-    open_lists: int = 3,
+    open_lists: int = 2,
     slop: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",

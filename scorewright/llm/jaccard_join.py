@@ -12,7 +12,7 @@ What keeps it linear where copies abound:
 * a pair is probed only if it has the T - L common entries in short lists that its sizes ask for;
 * a list first links its members to its smallest one only, a star instead of all pairs;
 * pairs are asked for only where a list still holds several components; stars between the components'
-  smallest members come first, until they yield nothing, and the rest is asked in full.
+  smallest members come first, and the rest is asked in full.
 
 Which lists are long is read from a sketch of shingle counts over all documents (2**20 counters, fixed
 size): it sets the order in which lists are merged, never which links are found. Lists that the sketch
@@ -36,6 +36,8 @@ from .graph import components
 CELLS, BLOCKS = 1 << 20, 64
 #: A list of more members than this, by the sketch, is dealt over several tasks.
 LONG_LIST = 50_000
+#: Rounds of stars before the round that asks in full, whatever the corpus.
+STARS = 2
 #: Classes whose texts are fetched by a broadcast of their ids; more are fetched by a shuffle.
 MAX_WANTED = 500_000
 
@@ -183,9 +185,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     stars = entries.select(F.col("hub").alias("x"), F.struct("node", "n").alias("y"))
     stars = stars.union(hot.select("shingle", "hub").distinct().join(tops, "shingle").select("top", "hub"))
     pairs = _counted(stars, percent, star=True)
-    asked, links, roots, sets = None, None, None, None
-    in_full = False
-    while True:
+    asked, roots, sets = None, None, None
+    for k in range(STARS + 1):
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -195,20 +196,16 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
         fetched = stored(_class_texts(texts, stored(wanted.join(classes, "node"), "wanted"), size), "sets")
         sets = fetched if sets is None else sets.union(fetched)
         found = stored(_verified(pairs, sets, size, percent), "links")
-        more = roots is None or bool(found.take(1))
         asked = pairs if asked is None else asked.union(pairs)
-        if more:
-            links = found if links is None else links.union(found)
-            roots = stored(components(links), "roots")
-        if in_full:
+        roots = stored(components(found) if roots is None else _united(roots, found), "roots")
+        if k == STARS:
             break
-        in_full = not more  # a round of stars that found nothing
         members = entries.join(roots, "node", "left").select(
             "shingle", F.struct("node", "n").alias("x"), F.coalesce("root", "node").alias("root")
         )
         mixed = members.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
         members = members.join(mixed.select("shingle", "lo"), "shingle")
-        if in_full:
+        if k == STARS - 1:  # the last round asks in full
             other = members.select("shingle", F.col("x").alias("y"), F.col("root").alias("other"))
             pairs = members.join(other, "shingle").filter(
                 f"root < other and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
@@ -230,6 +227,16 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     )
 
 
+def _united(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) after further links: only the links between roots are walked."""
+    for end in ("a", "b"):
+        to = roots.select(F.col("node").alias(end), F.col("root").alias("to"))
+        links = links.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    merged = stored(components(links.select("a", "b")), "merged")
+    known = roots.join(merged.toDF("root", "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return known.union(merged.join(roots, "node", "left_anti").select("node", "root"))
+
+
 def _counted(pairs: DataFrame, percent: int, star: bool) -> DataFrame:
     """(a, b): pairs of structs x and y (node, n) with enough common entries in their short lists.
 
