@@ -50,8 +50,8 @@ def _level(thresholds: list[float], score: str) -> Column:
 def level_counts(
     scored: DataFrame, thresholds: list[float], keys: list[str], score: str, truth: str
 ) -> DataFrame:
-    """Rows and score sums per key, outcome and score level."""
-    table = scored.where(F.col(score).isNotNull())
+    """Rows and score sums per key, outcome and score level; only rows labelled 0 or 1 count."""
+    table = scored.where(F.col(score).isNotNull() & F.col(truth).isin(0, 1))
     return (
         table.withColumn("_level", _level(sorted(thresholds), score))
         .groupBy(*keys, F.col(truth).alias("_truth"), "_level")

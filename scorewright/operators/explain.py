@@ -137,105 +137,40 @@ def guidance_texts(positive) -> Column:
     return F.when(F.size(kept) > 0, kept).otherwise(F.array(F.lit(DEFAULT_GUIDANCE)))
 
 
-def reason_text(driver: Column) -> Column:
-    """Short reason for one driver, as it appears inside a sentence."""
-    name, up = raw_feature(driver["feature"]), driver["value"] > 0
-    effect = F.when(up, "risk-increasing").otherwise("risk-reducing")
-    return (
-        F.when(
-            name.isin(*DELAY_GROUP),
-            F.when(up, "recent repayment delay is higher").otherwise(
-                "recent repayment history is stronger"
-            ),
-        )
-        .when(
-            name.isin(*UTILISATION_GROUP),
-            F.when(
-                up & (driver["relation"] == "above"), "bill-to-limit utilization is high"
-            ).otherwise(F.concat(F.lit("bill-to-limit utilization is "), effect)),
-        )
-        .when(
-            name.isin(*REPAYMENT_GROUP),
-            F.when(up, "repayment relative to bills is weak").otherwise(
-                "repayment relative to bills is stronger"
-            ),
-        )
-        .otherwise(
-            F.concat(
-                F.lit("the fitted model assigns a "),
-                effect,
-                F.lit(" contribution to "),
-                F.lower(display_name(driver["feature"])),
-            )
-        )
-    )
+#: Features, what to say where they raise the score, and where they lower it.
+REASONS = [
+    (DELAY_GROUP, "repayment delay in the last months raises the score", "bills paid without repayment delay lower the score"),
+    (UTILISATION_GROUP, "the bill-to-limit share raises the score", "the bill-to-limit share lowers the score"),
+    (REPAYMENT_GROUP, "payments small for the bills raise the score", "payments large for the bills lower the score"),
+    ([*BILLS, "AvgBillAmount"], "the size of the bills raises the score", "the size of the bills lowers the score"),
+    ([*PAYMENTS, "AvgPaymentAmount"], "the size of the payments raises the score", "the size of the payments lowers the score"),
+    (["LIMIT_BAL"], "the credit limit raises the score", "the credit limit lowers the score"),
+]
+OTHER = (" raises the score", " lowers the score")
 
 
-IN_MODEL = " in this fitted model."
+def reason_text(driver: Column) -> Column:
+    """What one driver does to the score, read from the table of reasons."""
+    up = driver["value"] > 0
+    more = lookup({n: said for names, said, _ in REASONS for n in names}, raw_feature(driver["feature"]))
+    less = lookup({n: said for names, _, said in REASONS for n in names}, raw_feature(driver["feature"]))
+    other = F.concat(F.lower(display_name(driver["feature"])), F.when(up, OTHER[0]).otherwise(OTHER[1]))
+    return F.coalesce(F.when(up, more).otherwise(less), other)
 
 
 def interpretation(driver: Column) -> Column:
-    """Full sentence for one driver."""
-    name, up = raw_feature(driver["feature"]), driver["value"] > 0
-    way = F.when(up, "higher").otherwise("lower")
-
-    def toward(subject) -> Column:
-        start = subject if isinstance(subject, Column) else F.lit(subject)
-        return F.concat(start, F.lit(" contributes toward "), way, F.lit(" predicted risk" + IN_MODEL))
-
-    return (
-        F.when(
-            name.isin(*DELAY_GROUP),
-            F.when(
-                up,
-                "Recent repayment delay contributes toward higher predicted default risk" + IN_MODEL,
-            ).otherwise(
-                "Timelier recent repayment contributes toward lower predicted default risk"
-                + IN_MODEL
-            ),
-        )
-        .when(
-            name.isin(*UTILISATION_GROUP) & up & (driver["relation"] == "above"),
-            "Higher bill-to-limit utilization contributes toward higher predicted risk" + IN_MODEL,
-        )
-        .when(name.isin(*UTILISATION_GROUP), toward("Bill-to-limit utilization"))
-        .when(
-            name.isin(*REPAYMENT_GROUP),
-            F.when(
-                driver["value"] < 0,
-                "Stronger repayment relative to bills contributes toward lower predicted risk"
-                + IN_MODEL,
-            ).otherwise(
-                "Low repayment relative to bill or limit contributes toward higher predicted risk"
-                + IN_MODEL
-            ),
-        )
-        .when(name.isin(*BILLS, "AvgBillAmount"), toward("Outstanding bill amount"))
-        .when(name.isin(*PAYMENTS, "AvgPaymentAmount"), toward("Payment amount pattern"))
-        .when(name == "LIMIT_BAL", toward("Credit limit"))
-        .otherwise(
-            toward(
-                F.concat(
-                    F.lit("For this applicant, the "),
-                    F.lower(display_name(driver["feature"])),
-                    F.lit(" feature"),
-                )
-            )
-        )
-    )
+    """One driver as a line of a report."""
+    return F.concat(display_name(driver["feature"]), F.lit(": "), reason_text(driver))
 
 
 def explanation_text(probability: str = "probability") -> Column:
-    """One sentence: the risk band and up to three different reasons (needs ranked drivers)."""
+    """The risk band and up to three different reasons for it (needs ranked drivers)."""
     low = F.col(probability) < 0.30
     chosen = F.when(low, actionable("negative")).otherwise(actionable("positive"))
     reasons = F.array_distinct(F.transform(F.slice(chosen, 1, SHOWN_DRIVERS), reason_text))
-    band = F.lower(risk_band(probability))
-    start = F.concat(F.lit("The predicted next-month default risk is "), band)
-    return F.when(
-        F.size(chosen) > 0,
-        F.concat(start, F.lit(" mainly because "), F.array_join(reasons, ", "), F.lit(".")),
-    ).otherwise(F.concat(start, F.lit(" based on the overall credit-card profile.")))
+    band = F.concat(F.lit("Default next month: "), F.lower(risk_band(probability)))
+    listed = F.concat(F.lit(". Main reasons: "), F.array_join(reasons, "; "), F.lit("."))
+    return F.concat(band, F.when(F.size(chosen) > 0, listed).otherwise(". No feature stands out."))
 
 
 def group_attribution(long: DataFrame, groups: list[str]) -> DataFrame:

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from ..schema import PAY_STATUS, TARGET, UTILISATION_FEATURES
 from ..session import reliable_checkpoint
-from .confusion import Policy, classification_report, confusion, threshold_grid
+from .confusion import classification_report, confusion, counts_at_thresholds, threshold_grid
 from .curves import ranking_metrics
-from .fairness import fairness_metrics4
+from .fairness import four_gaps
 from .mitigation import reweigh
 from .selection import choose_policy, select_preferred, union_frames
 from .splits import sample_n
@@ -370,13 +370,11 @@ def reweigh_compare(
 
 def tradeoff_table(scored: DataFrame, group: str = "SEX", threshold: float = 0.50) -> DataFrame:
     """One row per method (``model_name``): ``perf_*`` measures and ``fair_*`` gaps."""
-    names = [r[0] for r in scored.select("model_name").distinct().limit(100).collect()]
     report = classification_report(scored, threshold, ["model_name"]).drop(
         "f2", "approval_support_rate", "predicted_high_risk_rate"
     )
-    gaps = fairness_metrics4(scored, [Policy(n, n, threshold) for n in names], group).drop(
-        "policy", "threshold"
-    )
+    counts = counts_at_thresholds(scored, [threshold], ["model_name", group])
+    gaps = four_gaps(counts, ["model_name"], group)
     perf = [F.col(c).alias(f"perf_{c}") for c in report.columns if c != "model_name"]
     fair = [F.col(c).alias(f"fair_{c}") for c in gaps.columns if c != "model_name"]
     table = report.join(gaps, "model_name").select("model_name", *perf, *fair)

@@ -83,19 +83,22 @@ def key_text(keys: list[str]) -> Column:
     return F.concat_ws("\u0001", *parts) if keys else F.lit("")
 
 
-def small_lookup(df: DataFrame, keys: list[str], value, limit: int = LOOKUP_LIMIT) -> Column:
-    """Map from key text to a value, as a scalar subquery that rows read without a shuffle.
+def small_lookup(df: DataFrame, keys: list[str], value) -> DataFrame:
+    """Key text and value, one row per group or class, to be read with ``looked_up``."""
+    return df.select(key_text(keys).alias("_key_text"), as_col(value).alias("_value"))
 
-    Meant for one row per group or class; more than ``limit`` of them is an error, not a cut.
-    """
-    entries = F.map_from_entries(F.collect_list(F.struct(key_text(keys), as_col(value))))
-    too_many = F.raise_error(F.lit(f"more than {limit} groups by {keys}; not a lookup table"))
-    return df.agg(F.when(F.count("*") <= limit, entries).otherwise(too_many)).scalar()
 
+def looked_up(df: DataFrame, name: str, lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the lookup's value for each row's key as column ``name``.
 
-def looked_up(df: DataFrame, name: str, lookup: Column, keys: list[str]) -> DataFrame:
-    """Add the lookup's value for each row's key as column ``name``."""
-    with_map = df.withColumn("_lookup", lookup)
+    Up to ``LOOKUP_LIMIT`` entries, counted before they are gathered, become one map that rows read
+    without a shuffle; more of them are joined.
+    """
+    if keys and lookup.limit(LOOKUP_LIMIT + 1).count() > LOOKUP_LIMIT:
+        renamed = lookup.withColumnRenamed("_value", name)
+        return df.withColumn("_key_text", key_text(keys)).join(renamed, "_key_text", "left").drop("_key_text")
+    entries = F.map_from_entries(F.collect_list(F.struct("_key_text", "_value")))
+    with_map = df.withColumn("_lookup", lookup.agg(entries).scalar())
     return with_map.withColumn(name, F.try_element_at("_lookup", key_text(keys))).drop("_lookup")
 
 
@@ -111,52 +114,26 @@ def long_values(df: DataFrame, names: list[str], keys: list[str]) -> DataFrame:
     return df.select(*keys, F.expr(f"inline(array({cells}))"))
 
 
-_SKETCH_ACCURACY, _SKETCH_MARGIN = 1000, 0.004
-
-
 def exact_quantiles(
     df: DataFrame, names: list[str], probabilities: list[float], keys: list[str] | None = None
 ) -> DataFrame:
     """Exact interpolated quantiles of many columns: ``keys, feature, n, quantiles`` (array).
 
-    A sketch first brackets every quantile; values outside the brackets are only counted per gap,
-    so just the few values near a quantile are put in order. A rank outside its bracket raises.
+    Equal values are counted once, with map-side combine, and the counts are written; the ranks are
+    then found by running counts over ranges of the distinct values. Any number of rows will do:
+    a group of one row has that row's value as every quantile, and one without values has no row.
 
-    Runs at once: the sketch and the result, a row per key and feature, are checkpointed, so that
-    a plan that uses them does not repeat these passes.
+    Runs at once: the counts and the result are checkpointed, so that a plan that uses them does not
+    repeat these passes.
     """
     keys = keys or []
-    numbers = df.select(*keys, *[F.expr(f"cast(`{n}` as double) as `{n}`") for n in names])
-
-    def sketched(name: str, side: int) -> str:
-        edges = [min(1.0, max(0.0, p + side * _SKETCH_MARGIN)) for p in sorted(probabilities)]
-        listed = ", ".join(f"{edge:.6f}D" for edge in edges)
-        return f"percentile_approx(`{name}`, array({listed}), {_SKETCH_ACCURACY})"
-
-    fields = ", ".join(
-        f"struct({sketched(n, -1)} as low, {sketched(n, 1)} as high) as `{n}`" for n in names
-    )
-    sketch = numbers.groupBy(*keys).agg(F.expr(f"struct({fields})").alias("bracket"))
-    brackets = small_lookup(reliable_checkpoint(sketch), keys, "bracket")
-    wide = looked_up(numbers, "_bracket", brackets, keys)
-
-    def placed(name: str) -> str:
-        lows = f"size(filter(_bracket.`{name}`.low, edge -> edge <= `{name}`))"
-        highs = f"size(filter(_bracket.`{name}`.high, edge -> edge < `{name}`))"
-        kept = f"case when {lows} > {highs} then `{name}` end"
-        place = f"struct({lows} + {highs} as part, {kept} as value)"
-        return f"struct('{name}' as feature, case when `{name}` is not null then {place} end as place)"
-
-    cells = ", ".join(placed(n) for n in names)
-    places = wide.select(*keys, F.expr(f"inline(array({cells}))"))
-    counts = places.where(F.col("place").isNotNull()).groupBy(*keys, "feature", "place").agg(
-        F.count("*").alias("n")
-    )
-    ranked = running_counts(counts, [*keys, "feature"], "place", ["n"])
+    values = long_values(df, names, keys).where(F.col("value").isNotNull())
+    counts = values.groupBy(*keys, "feature", "value").agg(F.count("*").alias("n"))
+    ranked = running_counts(reliable_checkpoint(counts), [*keys, "feature"], "value", ["n"])
 
     def at_rank(rank: Column) -> Column:
         hit = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))
-        return F.max(F.when(hit, F.col("place.value")))
+        return F.max(F.when(hit, F.col("value")))
 
     position = {i: p * (F.col("n_total") - 1) for i, p in enumerate(probabilities)}
     found = ranked.groupBy(*keys, "feature").agg(
@@ -168,19 +145,16 @@ def exact_quantiles(
     def between(i: int, p: float) -> Column:
         at = p * (F.col("n") - 1)
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        missed = F.raise_error(F.lit("a quantile lies outside its sketched bracket"))
-        return F.when(
-            low.isNotNull() & high.isNotNull(), low + (high - low) * (at - F.floor(at))
-        ).otherwise(missed.cast("double"))
+        return low + (high - low) * (at - F.floor(at))
 
-    values = F.array(*[between(i, p) for i, p in enumerate(probabilities)])
-    return reliable_checkpoint(found.select(*keys, "feature", "n", values.alias("quantiles")))
+    quantiles = F.array(*[between(i, p) for i, p in enumerate(probabilities)])
+    return reliable_checkpoint(found.select(*keys, "feature", "n", quantiles.alias("quantiles")))
 
 
 def rank_cutoff(
     df: DataFrame, order: str, takes: DataFrame, keys: list[str], ranged: DataFrame | None = None
-) -> Column:
-    """Per key, the order value of the ``take``-th row in order, as a lookup column.
+) -> DataFrame:
+    """Per key, the order value of the ``take``-th row in order, as a lookup.
 
     ``df`` has unique order values per key; ``takes`` has ``keys, take``. Ranges are counted,
     and only rows of the one range where a key's cut-off lies are sorted. Runs at once: the

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_order, row_signature
 from ..schema import TARGET, require_columns
-from .ordering import by_hash_prefix, key_text, rank_cutoff, with_range
+from .ordering import by_hash_prefix, looked_up, rank_cutoff, with_range
 
 TEST_SHARE = 0.20
 VALIDATION_SHARE = 0.25
@@ -51,10 +51,9 @@ def _held_out(
     counts = units.groupBy(*strata).agg(F.count("*").alias("n"))
     takes = stratified_sizes(counts, strata, share)
     cutoff = rank_cutoff(units, order, takes, strata, ranged)
-    with_map = df.withColumn("_cutoffs", cutoff)
-    limit = F.try_element_at("_cutoffs", key_text(strata))
-    held = F.coalesce(F.col(order) <= limit, F.lit(False))
-    return with_map.withColumn("_held", held).drop("_cutoffs")
+    with_limit = looked_up(df, "_limit", cutoff, strata)
+    held = F.coalesce(F.col(order) <= F.col("_limit"), F.lit(False))
+    return with_limit.withColumn("_held", held).drop("_limit")
 
 
 def split_group_stratified(
@@ -118,10 +117,10 @@ def split_temporal(df: DataFrame, date: str, key: str, share: float = TEST_SHARE
     empty = F.raise_error(F.lit("temporal split has an empty test side")).cast("bigint")
     takes = units.agg(F.when(size < n, size).otherwise(empty).alias("take"))
     cutoff = rank_cutoff(units, "_order", takes, [], with_range(units, [], "_order"))
-    last = dated.withColumn("_cutoffs", cutoff)
-    within = F.col("_order") <= F.try_element_at("_cutoffs", F.lit(""))
+    last = looked_up(dated, "_limit", cutoff, [])
+    within = F.col("_order") <= F.col("_limit")
     side = F.when(within, "train").otherwise("test")
-    return last.withColumn("split", side).drop("_order", "_cutoffs")
+    return last.withColumn("split", side).drop("_order", "_limit")
 
 
 def target_shuffle(df: DataFrame, key: str, target: str = TARGET, seed: int = 42) -> DataFrame:
@@ -134,10 +133,10 @@ def target_shuffle(df: DataFrame, key: str, target: str = TARGET, seed: int = 42
     units = ordered.select("_order")
     ones = df.agg(F.coalesce(F.sum(target), F.lit(0)).alias("take"))
     cutoff = rank_cutoff(units, "_order", ones, [], by_hash_prefix(units, "_order"))
-    with_map = ordered.withColumn("_cutoffs", cutoff)
-    within = F.col("_order") <= F.try_element_at("_cutoffs", F.lit(""))
+    with_limit = looked_up(ordered, "_limit", cutoff, [])
+    within = F.col("_order") <= F.col("_limit")
     shuffled = F.coalesce(within, F.lit(False)).cast("int")
-    return with_map.withColumn(target, shuffled).drop("_order", "_cutoffs")
+    return with_limit.withColumn(target, shuffled).drop("_order", "_limit")
 
 
 def distinct_group(df: DataFrame, names: list[str], key: str, places: int | None = None):

@@ -190,11 +190,10 @@ def external_benchmark(spark, sf):
 @query("proxy_predictability")
 def proxy_predictability(spark, sf):
     reports, scores = M.proxy_predictability(split_table(spark, sf), PUBLIC_FEATURES, KEY)
-    top = scores.withColumn(
-        "place",
-        F.row_number().over(M.Window.partitionBy("model").orderBy(F.desc("absolute_score"), "feature")),
-    ).where("place <= 12")
-    return reports.join(top, "model")
+    place = F.row_number().over(
+        M.Window.partitionBy("model").orderBy(F.desc("absolute_score"), "feature")
+    )
+    return reports.join(scores.withColumn("place", place), "model")
 
 
 @query("importance")
@@ -450,30 +449,26 @@ def _in(names: list[str]) -> str:
     return f"feature in ({', '.join(quoted(n) for n in names)})"
 
 
-_EFFECT = "case when up then 'risk-increasing' else 'risk-reducing' end"
-_REASON = f"""case
-  when {_in(E.DELAY_GROUP)} then case when up then 'recent repayment delay is higher'
-       else 'recent repayment history is stronger' end
-  when {_in(E.UTILISATION_GROUP)} then case when up and relation = 'above'
-       then 'bill-to-limit utilization is high'
-       else 'bill-to-limit utilization is ' || {_EFFECT} end
-  when {_in(E.REPAYMENT_GROUP)} then case when up then 'repayment relative to bills is weak'
-       else 'repayment relative to bills is stronger' end
-  else 'the fitted model assigns a ' || {_EFFECT} || ' contribution to ' || lower(display_name)
+def _reason_sql() -> str:
+    cases = "".join(
+        f"  when {_in(names)} then case when up then '{more}' else '{less}' end\n"
+        for names, more, less in E.REASONS
+    )
+    return f"""case
+{cases}  else lower(display_name) || case when up then '{E.OTHER[0]}' else '{E.OTHER[1]}' end
   end"""
 
 
 @query(
     "explanation_text",
-    q(f"""select applicant_id, 'The predicted next-month default risk is ' || band || coalesce(
-            ' mainly because ' || reasons || '.', ' based on the overall credit-card profile.')
-            as explanation
+    q(f"""select applicant_id, 'Default next month: ' || band || coalesce(
+            '. Main reasons: ' || reasons || '.', '. No feature stands out.') as explanation
           from (select applicant_id, case when {card_sql()} < 0.30 then 'low risk'
                   when {card_sql()} <= 0.60 then 'medium risk' else 'high risk' end as band
                 from features)
           left join (
-            select applicant_id, string_agg(reason, ', ' order by first_rank) as reasons from (
-              select applicant_id, {_REASON} as reason, min(rank) as first_rank from free
+            select applicant_id, string_agg(reason, '; ' order by first_rank) as reasons from (
+              select applicant_id, {_reason_sql()} as reason, min(rank) as first_rank from free
               where rank <= 3 and up = (probability >= 0.30) group by 1, 2)
             group by applicant_id) using (applicant_id)""", DRIVERS),
 )

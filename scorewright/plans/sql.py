@@ -133,7 +133,7 @@ line_scores as (
          round(5 * l_discount + 5 * l_tax, 4) as y_proba, l_linestatus as segment
   from lineitem),
 document_scores as (
-  select doc_id, lang, quality as y_true, least(10000, n_chars) / 10000.0::double as y_proba
+  select doc_id, lang, quality as y_true, n_chars / (n_chars + 10000.0::double) as y_proba
   from documents join labels using (doc_id))"""
 
 

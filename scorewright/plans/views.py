@@ -182,5 +182,5 @@ def document_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "lang",
         F.col("quality").alias("y_true"),
-        (F.least(F.lit(10000), F.col("n_chars")) / F.lit(10000.0)).alias("y_proba"),
+        (F.col("n_chars") / (F.col("n_chars") + F.lit(10000.0))).alias("y_proba"),
     )

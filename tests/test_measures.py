@@ -102,3 +102,38 @@ def test_rules(spark):
     assert summary[S.RULE_A].threshold is None
     with pytest.raises(ValueError):
         S.select_rule(first, "no_such_rule", ["model_name"])
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 137, 142, 300])
+def test_exact_quantiles_of_any_number_of_rows(spark, n):
+    from scorewright.operators.ordering import exact_quantiles
+
+    rows = [("big", float(v % 7)) for v in range(1000)] + [("small", float(v)) for v in range(n)] + [("none", None)]
+    probabilities = [k / 10 for k in range(11)]
+    found = exact_quantiles(spark.createDataFrame(rows, "g string, x double"), ["x"], probabilities, ["g"])
+    got = {r["g"]: r["quantiles"] for r in found.collect()}
+    import numpy as np
+
+    assert set(got) == {"big", "small"}
+    assert np.allclose(got["small"], np.quantile(np.arange(n), probabilities))
+    assert np.allclose(got["big"], np.quantile([v % 7 for v in range(1000)], probabilities))
+
+
+def test_unlabelled_rows_and_other_labels_count_nowhere(spark):
+    from scorewright.operators import fairness
+    from scorewright.operators.confusion import Policy, confusion, threshold_grid
+
+    rows = [(1, 0.9, "m", 1), (0, 0.1, "m", 1), (None, 0.8, "m", 1), (2, 0.7, "m", 1)]
+    scored = spark.createDataFrame(rows, "y_true int, y_proba double, model_name string, SEX int")
+    out = fairness.group_outcome(fairness.with_sex_group(scored), [Policy("p", "m", 0.5)]).collect()
+    assert [(r["n"], r["mean_predicted_default_probability"]) for r in out] == [(2, 0.5)]
+
+
+def test_lookups_beyond_the_map_are_joined(spark, monkeypatch):
+    from scorewright.operators import ordering
+
+    monkeypatch.setattr(ordering, "LOOKUP_LIMIT", 3)
+    table = spark.range(10).selectExpr("id", "cast(id as string) as k")
+    lookup = ordering.small_lookup(table.where("id < 8"), ["k"], "id")
+    got = ordering.looked_up(table, "v", lookup, ["k"]).collect()
+    assert {r["id"]: r["v"] for r in got} == {k: k if k < 8 else None for k in range(10)}
