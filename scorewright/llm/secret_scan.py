@@ -88,7 +88,8 @@ def evidence(spans: Column) -> Column:
         for pattern, letters in reversed(ALPHABETS):
             size = F.when(s["token"].rlike(pattern), F.lit(float(letters))).otherwise(size)
         runs = s["token"]
-        for many, one in (("[a-z]+", "a"), ("[A-Z]+", "A"), ("[0-9]+", "0"), ("[^a-zA-Z0-9]+", "+")):
+        # separators join words in names and paths: they are no class of their own
+        for many, one in (("[^a-zA-Z0-9]+", ""), ("[a-z]+", "a"), ("[A-Z]+", "A"), ("[0-9]+", "0")):
             runs = F.regexp_replace(runs, many, one)
         chars = F.filter(F.split(s["token"], ""), lambda c: c != "")
         return F.struct(
@@ -105,7 +106,14 @@ def evidence(spans: Column) -> Column:
         mean = F.aggregate(codes, F.lit(0.0), lambda total, c: total + c) / F.greatest(s["n"], F.lit(1.0))
         return F.struct(
             *keep(s), s["size"].alias("size"), s["n"].alias("n"), s["changes"].alias("changes"), squares.alias("squares"),
-            F.transform(codes, lambda c: c - mean).alias("centred"),
+            codes.alias("codes"), mean.alias("mean"),
+        )
+
+    def centre(s: Column) -> Column:
+        # a step of its own: inside the last one's transform the mean would be computed for every code
+        return F.struct(
+            *keep(s), *[s[k].alias(k) for k in ("size", "n", "changes", "squares")],
+            F.transform(s["codes"], lambda c: c - s["mean"]).alias("centred"),
         )
 
     def scores(s: Column) -> Column:
@@ -133,7 +141,7 @@ def evidence(spans: Column) -> Column:
         )
 
     tokens = F.transform(spans, lambda s: F.struct(*keep(s), F.rtrim(s["part"], F.lit("=")).alias("token")))
-    for step in (alphabet, sums, scores, logarithm):
+    for step in (alphabet, sums, centre, scores, logarithm):
         tokens = F.transform(tokens, step)
     return tokens
 

@@ -158,8 +158,8 @@ def battery(token):
     chi = size / n * sum(v * v for v in Counter(token).values()) - n
     apart = max(size * 0.065 - 1, 0.5) * n
     z_chi = (chi - (size - 1 + apart)) / math.sqrt(2 * (size - 1 + 2 * apart))
-    kind = ["a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "+" for c in token]
-    changes = sum(x != y for x, y in zip(kind, kind[1:], strict=False))
+    kind = ["a" if c.islower() else "A" if c.isupper() else "0" for c in token if c.isalnum()]
+    changes = sum(x != y for x, y in zip(kind, kind[1:], strict=False)) if kind else -1
     z_runs = 0 if size == 26 else -(changes - (n - 1) * 0.15) / math.sqrt((n - 1) * 0.15 * 0.85)
     codes = [secret_scan.CODES.index(c) + 1 for c in token]
     mean = sum(codes) / n
