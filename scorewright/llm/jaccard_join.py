@@ -95,13 +95,14 @@ def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def _signatures(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, node, n, short): fingerprint and size of each set, and its short lists' shingles."""
+    """(doc_id, node, n, w, short): fingerprint and size of each set, how common the shingles of its short lists
+    are (mean of log2, in thousandths), and those shingles. In a group of near copies w is high for the least altered."""
     counts = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts, size))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts.value
         for batch in rows_of(batches):
-            nodes, sizes, shorts, parts = [], [], [], []
+            nodes, sizes, common, shorts, parts = [], [], [], [], []
             for text in _texts(batch):
                 s = shingle_set(_words(text), size)
                 n = len(s)
@@ -110,18 +111,20 @@ def _signatures(texts: DataFrame, size: int, percent: int) -> DataFrame:
                 seen = often[_cells(s)]
                 first = np.lexsort((s, seen))[: n - -(-percent * n // 100) + 1] if n else np.empty(0, np.int64)
                 shorts.append(signed(s[first]))
+                common.append(int(1000 * np.log2(seen[first]).mean()) if n else 0)
                 parts.append((seen[first] // LONG_LIST).astype(np.int64) + 1)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
                     "node": pa.array(nodes, pa.int64()),
                     "n": pa.array(sizes, pa.int64()),
+                    "w": pa.array(common, pa.int64()),
                     "short": lists(shorts, pa.int64()),
                     "parts": lists(parts, pa.int64()),
                 }
             )
 
-    return texts.mapInArrow(sign, "doc_id long, node long, n long, short array<long>, parts array<long>")
+    return texts.mapInArrow(sign, "doc_id long, node long, n long, w long, short array<long>, parts array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
@@ -162,27 +165,27 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     signed_docs = stored(_signatures(texts, size, percent), "signatures")
-    short = F.first(F.struct("n", "short", "parts")).alias("s")
+    short = F.first(F.struct("n", "w", "short", "parts")).alias("s")
     entries = (
         signed_docs.filter("n > 0 and doc_id is not null")
         .groupBy("node")
         .agg(short)
-        .select("node", F.col("s.n").cast("int").alias("n"), F.explode(F.arrays_zip("s.short", "s.parts")).alias("e"))
-        .select("node", "n", F.col("e.short").alias("shingle"), F.col("e.parts").alias("parts"))
-        .select("shingle", "node", "n", F.when(F.col("parts") > 1, F.pmod("node", "parts").cast("int")).alias("part"))
+        .select("node", F.col("s.n").cast("int").alias("n"), F.col("s.w").cast("int").alias("w"), F.explode(F.arrays_zip("s.short", "s.parts")).alias("e"))
+        .select("node", "n", "w", F.col("e.short").alias("shingle"), F.col("e.parts").alias("parts"))
+        .select("shingle", "node", "n", "w", F.when(F.col("parts") > 1, F.pmod("node", "parts").cast("int")).alias("part"))
     )
     of_list = Window.partitionBy("shingle", "part")
     entries = entries.select(
-        "shingle", "part", "node", "n", F.min(F.struct("node", "n")).over(of_list).alias("hub"), F.max("node").over(of_list).alias("last")
-    ).filter("hub.node <> last or part is not null")
-    entries = stored(entries.drop("last"), "lists")
+        "shingle", "part", F.struct("w", "node", "n").alias("x"), F.max(F.struct("w", "node", "n")).over(of_list).alias("hub"), F.count("*").over(of_list).alias("size")
+    ).filter("size > 1 or part is not null")
+    entries = stored(entries.drop("size"), "lists")
     classes = stored(
         signed_docs.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "classes"
     )
 
     hot = entries.filter("part is not null")
-    tops = hot.groupBy("shingle").agg(F.min("hub").alias("top"))
-    stars = entries.select(F.col("hub").alias("x"), F.struct("node", "n").alias("y"))
+    tops = hot.groupBy("shingle").agg(F.max("hub").alias("top"))
+    stars = entries.select(F.col("hub").alias("x"), F.col("x").alias("y"))
     stars = stars.union(hot.select("shingle", "hub").distinct().join(tops, "shingle").select("top", "hub"))
     pairs = _counted(stars, percent, star=True)
     asked, roots, sets = None, None, None
@@ -200,8 +203,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
         roots = stored(components(found) if roots is None else _united(roots, found), "roots")
         if k == STARS:
             break
-        members = entries.join(roots, "node", "left").select(
-            "shingle", F.struct("node", "n").alias("x"), F.coalesce("root", "node").alias("root")
+        members = entries.join(roots, F.col("x.node") == F.col("node"), "left").select(
+            "shingle", "x", F.coalesce("root", "x.node").alias("root")
         )
         mixed = members.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
         members = members.join(mixed.select("shingle", "lo"), "shingle")
