@@ -9,10 +9,10 @@ partner's sorted set, which gives the exact overlap.
 What keeps it linear where copies abound:
 
 * equal sets are one class, found with map-side combine, before any list is opened;
-* a pair is probed only if it has the T - L common entries in short lists that its sizes ask for;
-* a list first links its members to its smallest one only, a star instead of all pairs;
+* a list first links its members to its least altered one only, a star instead of all pairs;
 * pairs are asked for only where a list still holds several components; stars between the components'
-  smallest members come first, and the rest is asked in full.
+  least altered members come first;
+* the rest is asked in full, by the few shortest lists that must show one of a pair's T - L common entries.
 
 Which lists are long is read from a sketch of shingle counts over all documents (2**20 counters, fixed
 size): it sets the order in which lists are merged, never which links are found. Lists that the sketch
@@ -187,7 +187,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     tops = hot.groupBy("shingle").agg(F.max("hub").alias("top"))
     stars = entries.select(F.col("hub").alias("x"), F.col("x").alias("y"))
     stars = stars.union(hot.select("shingle", "hub").distinct().join(tops, "shingle").select("top", "hub"))
-    pairs = _counted(stars, percent, star=True)
+    pairs = _counted(stars, percent)
     asked, roots, sets = None, None, None
     for k in range(STARS + 1):
         if asked is not None:
@@ -206,19 +206,15 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
         members = entries.join(roots, F.col("x.node") == F.col("node"), "left").select(
             "shingle", "x", F.coalesce("root", "x.node").alias("root")
         )
-        mixed = members.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-        members = members.join(mixed.select("shingle", "lo"), "shingle")
+        mixed = members.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+        members = members.join(mixed.filter("lo <> hi").select("shingle", "lo", "size"), "shingle")
         if k == STARS - 1:  # the last round asks in full
-            other = members.select("shingle", F.col("x").alias("y"), F.col("root").alias("other"))
-            pairs = members.join(other, "shingle").filter(
-                f"root < other and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-            )
-            pairs = _counted(pairs.select("x", "y"), percent, star=False)
+            pairs = _across(stored(members, "members"), percent)
         else:
-            firsts = members.groupBy("shingle", "root", "lo").agg(F.min("x").alias("x"))
+            firsts = members.groupBy("shingle", "root", "lo").agg(F.max("x").alias("x"))
             hub = firsts.filter("root = lo").select("shingle", F.col("x").alias("hub"))
             stars = firsts.filter("root <> lo").join(hub, "shingle").select(F.col("hub").alias("x"), F.col("x").alias("y"))
-            pairs = _counted(stars, percent, star=True)
+            pairs = _counted(stars, percent)
 
     named = classes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -240,22 +236,45 @@ def _united(roots: DataFrame, links: DataFrame) -> DataFrame:
     return known.union(merged.join(roots, "node", "left_anti").select("node", "root"))
 
 
-def _counted(pairs: DataFrame, percent: int, star: bool) -> DataFrame:
-    """(a, b): pairs of structs x and y (node, n) with enough common entries in their short lists.
+def _needed(percent: int, n: str, m: str) -> str:
+    """Common entries that the short lists of two linked sets of sizes n and m hold at least.
+
+    Sets that reach the similarity share T = ceil(t (n + m) / (1 + t)) shingles, all but
+    L = ceil(t max(n, m)) - 1 of them in the short lists of either.
+    """
+    return f"ceil({percent} * ({n} + {m}) / {100 + percent}) - ceil({percent} * greatest({n}, {m}) / 100) + 1"
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs across components that can have enough common entries, from members (shingle, x, root, size).
 
-    Two sets of sizes n and m that reach the similarity share T = ceil(t (n + m) / (1 + t)) shingles, all but
-    L = ceil(t max(n, m)) - 1 of them in the short lists of either: at least T - L common entries. A star shows
-    only some of a pair's common entries: there a quarter is enough, and y asks its best hub x only.
+    For each size m that its lists hold, a set has c entries. A linked partner of that size shares k of them at
+    least, so one of both sides' c - k + 1 entries of the shortest lists is common: only those are joined, and
+    a set with fewer than k entries asks nobody.
     """
+    sizes = members.select("shingle", F.col("x.n").alias("m")).distinct()
+    able = (
+        members.select("shingle", "root", "size", "x.node", "x.n")
+        .join(sizes, "shingle")
+        .filter(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+    )
+    of_size = Window.partitionBy("node", "m")
+    able = able.select(
+        "*", F.count("*").over(of_size).alias("c"), F.row_number().over(of_size.orderBy("size", "shingle")).alias("i")
+    )
+    able = stored(able.filter(f"i <= c - ({_needed(percent, 'n', 'm')}) + 1").select("shingle", "node", "n", "m", "root"), "able")
+    other = able.toDF("shingle", "partner", "m", "n", "other")
+    pairs = able.join(other, ["shingle", "n", "m"]).filter("root < other")
+    return pairs.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
+
+
+def _counted(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a star, hubs x and others y as structs (w, node, n). A star shows only some of a pair's
+    common entries: a quarter of those needed is enough, and y asks its best hub x only."""
     pairs = pairs.filter("x.node <> y.node")
-    if not star:
-        x, y = F.col("x"), F.col("y")
-        pairs = pairs.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
     counted = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m")).agg(F.count("*").alias("c"))
-    needed = f"ceil({percent} * (n + m) / {100 + percent}) - ceil({percent} * greatest(n, m) / 100) + 1"
-    enough = counted.filter(f"100 * least(n, m) >= {percent} * greatest(n, m) and c * {4 if star else 1} >= {needed}")
-    if star:
-        enough = enough.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a"))
+    enough = counted.filter(f"100 * least(n, m) >= {percent} * greatest(n, m) and c * 4 >= {_needed(percent, 'n', 'm')}")
+    enough = enough.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a"))
     return enough.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
