@@ -108,49 +108,55 @@ def near_vectors(
     points = _unit(points)
     rng = np.random.default_rng(seed)
     wanted = leaf * len(points) / max(total, 1)
-    forest = classes.sparkSession.sparkContext.broadcast([_fit_tree(points, rng, wanted, spill) for _ in range(trees)])
+    fitted = [_fit_tree(points, rng, wanted, spill) for _ in range(trees)]
+    offsets = np.cumsum([0] + [sum(n[0] is None for n in tree) for tree in fitted]).tolist()
+    forest = classes.sparkSession.sparkContext.broadcast(list(zip(offsets, fitted)))
+    # floats travel as they came; their unit vectors are computed anew in double precision
+    kind = np.float32 if dict(table.dtypes)[vector_col] == "array<float>" else np.float64
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches, 2000):
-            v = _unit(np.array(batch.column("v").to_pylist(), np.float64).reshape(batch.num_rows, width))
+            raw = np.array(batch.column("v").to_pylist(), np.float64).reshape(batch.num_rows, width)
+            v = _unit(raw)
             reached: list[list[int]] = [[] for _ in range(batch.num_rows)]
-            for t, tree in enumerate(forest.value):
+            for first, tree in forest.value:
                 for number, members in _leaves(tree, v):
                     for k in members.tolist():
-                        reached[k].append(t << 32 | number)
+                        reached[k].append(first + number)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("copies"), pa.array([r.tobytes() for r in v], pa.binary()), pa.array([sorted(r) for r in reached], pa.list_(pa.int64()))],
+                [batch.column("node"), batch.column("copies"), pa.array([r.tobytes() for r in raw.astype(kind)], pa.binary()), pa.array([sorted(r) for r in reached], pa.list_(pa.int32()))],
                 ["node", "copies", "v", "leaves"],
             )
 
     routed = stored(
-        classes.select("node", "copies", "v").mapInArrow(route, "node long, copies long, v binary, leaves array<long>"),
+        classes.select("node", "copies", "v").mapInArrow(route, "node long, copies long, v binary, leaves array<int>"),
         "routed",
     )
-    members = routed.withColumn("leaf", F.explode("leaves"))
-    blocks = members.groupBy("leaf").agg(F.count("*").alias("n")).filter("n > 1").select(
-        "leaf", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")
-    )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    sizes = routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n"))
+    large = stored(sizes.filter(F.col("n") > BLOCK).select("leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large_leaves")
+    # a member carries the leaves before this one: a pair counts in the first leaf that it shares
+    members = routed.select("node", "copies", "v", "leaves", F.posexplode("leaves").alias("at", "leaf"))
     members = (
-        members.join(blocks, "leaf")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("leaf", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "copies", "v", "leaves")
+        members.select("node", "copies", "v", "leaf", F.expr("slice(leaves, 1, at)").alias("earlier"))
+        .join(large, "leaf", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("leaf", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "copies", "v", "earlier")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One pair of blocks after the other, sorted by (leaf, x, y)."""
         key, held = None, []
         for batch in rows_of(batches, 2000):
-            for row in zip(*(batch.column(c).to_pylist() for c in ("leaf", "x", "y", "own", "node", "copies", "v", "leaves")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("leaf", "x", "y", "own", "node", "copies", "v", "earlier")), strict=True):
                 if row[:3] != key:
                     if len(held) > 1:
-                        yield _linked(key, held, threshold)
+                        yield _linked(key, held, threshold, kind)
                     key, held = row[:3], []
                 held.append(row[3:])
         if len(held) > 1:
-            yield _linked(key, held, threshold)
+            yield _linked(key, held, threshold, kind)
 
     links = stored(
         members.repartition("leaf", "x", "y")
@@ -184,42 +190,42 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def _linked(key: tuple, held: list[tuple], threshold: float) -> pa.RecordBatch:
+def _linked(key: tuple, held: list[tuple], threshold: float, kind: type) -> pa.RecordBatch:
     """Links of one pair of blocks: (a, b, n), b a partner or root, n the rows that a links with here."""
-    leaf, x, y = key
+    _, x, y = key
     own, node, copies = (np.array([h[k] for h in held], np.int64) for k in range(3))
-    v = np.frombuffer(b"".join(h[3] for h in held), np.float64).reshape(len(held), -1)
+    v = _unit(np.frombuffer(b"".join(h[3] for h in held), kind).reshape(len(held), -1).astype(np.float64))
     left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-    a_out, b_out, n_out = [], [], []
-    earlier = [frozenset(z for z in h[4] if z < leaf) for h in held]
-    vocabulary = {z: k for k, z in enumerate(sorted(frozenset().union(*earlier)))}
-    counts = np.zeros(len(held), np.int64)
-    parent = list(range(len(held)))
-
-    def root(k: int) -> int:
-        while parent[k] != k:
-            parent[k] = parent[parent[k]]
-            k = parent[k]
-        return k
-
-    shared = np.zeros((len(held), len(vocabulary)), np.float32)
-    for k, known in enumerate(earlier):
-        shared[k, [vocabulary[z] for z in known]] = 1
+    counts, root = np.zeros(len(held), np.int64), np.arange(len(held))
+    shared = None
     for k in range(0, len(left), 512):
         part = left[k : k + 512]
         near = v[part] @ v[right].T >= threshold
         near &= (part[:, None] < right[None, :]) if x == y else True
-        if not near.any():
+        rows, others = near.any(axis=1), near.any(axis=0)
+        if not rows.any():
             continue
-        i, j = np.nonzero(near)
-        new = np.concatenate([(shared[part[i[s : s + 50_000]]] * shared[right[j[s : s + 50_000]]]).sum(axis=1) == 0 for s in range(0, len(i), 50_000)])
-        np.add.at(counts, part[i[new]], copies[right[j[new]]])
-        np.add.at(counts, right[j[new]], copies[part[i[new]]])
-        for p, q in zip(part[i].tolist(), right[j].tolist(), strict=True):
-            p, q = root(p), root(q)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-    for k in range(len(held)):
-        if counts[k] or root(k) != k:
-            a_out.append(node[k]), b_out.append(node[root(k)]), n_out.append(counts[k])
-    return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in (a_out, b_out, n_out)], ["a", "b", "n"])
+        if shared is None:
+            shared = _earlier_leaves([h[4] for h in held])
+        p, q, near = part[rows], right[others], near[rows][:, others]
+        new = (near & (shared[p] @ shared[q].T == 0)).astype(np.int64)
+        counts[p] += new @ copies[q]
+        counts[q] += copies[p] @ new
+        for i, partners in zip(p.tolist(), near, strict=True):
+            known = np.unique(np.append(root[q[partners]], root[i]))
+            if len(known) > 1:
+                root[np.isin(root, known)] = known[0]
+    out = (counts > 0) | (root != np.arange(len(held)))
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (node[out], node[root[out]], counts[out])], ["a", "b", "n"])
+
+
+def _earlier_leaves(earlier: list[list[int]]) -> np.ndarray:
+    """A row for each member, a column for each earlier leaf of two members or more: 1 where the member is in it."""
+    member = np.repeat(np.arange(len(earlier)), [len(e) for e in earlier])
+    _, leaf, n = np.unique(np.array([z for e in earlier for z in e], np.int64), return_inverse=True, return_counts=True)
+    several = n > 1
+    column = np.cumsum(several) - 1
+    chosen = several[leaf]
+    shared = np.zeros((len(earlier), int(several.sum())), np.float32)
+    shared[member[chosen], column[leaf[chosen]]] = 1
+    return shared
