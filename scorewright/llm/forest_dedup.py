@@ -1,10 +1,11 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
 Equal vectors are one class. Each tree splits the space by random hyperplanes at the median of a bounded
-sample, again and again until a leaf is small; vectors near a split go to both sides (spill). All vectors
-are sent down all trees, by the map tasks. Vectors that share a leaf are compared in double precision, in
-blocks of bounded size; a pair that shares several leaves counts in the first of them only. A leaf's
-links leave the task as counts and as a spanning forest, never as pairs, and are united across leaves.
+sample, again and again until a leaf is small; vectors near a split go to both sides (spill). A node as
+narrow as a linked pair is not split: a group of near copies stays in one leaf, whatever its size. All
+vectors are sent down all trees, by the map tasks. Vectors that share a leaf are compared in double
+precision, in blocks of bounded size; a pair that shares several leaves counts in the first of them only.
+A leaf's links leave the task as counts and as a spanning forest, never as pairs, and are united across leaves.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ from .graph import components
 SAMPLE, LEAF, BLOCK = 20_000, 256, 2_048
 
 
-def _fit_tree(sample: np.ndarray, rng: np.random.Generator, leaf: float, spill: float) -> list[tuple]:
-    """Nodes (direction, threshold, margin, left, right); a leaf is (None, number). leaf: sample rows."""
+def _fit_tree(sample: np.ndarray, rng: np.random.Generator, leaf: float, spill: float, reach: float) -> list[tuple]:
+    """Nodes (direction, threshold, margin, left, right); a leaf is (None, number). leaf: sample rows.
+
+    The margin is the spill quantile, but `reach` at least; where that sends too many rows to both sides, the node
+    is as narrow as the linked pairs in it, and stays a leaf."""
     nodes: list[tuple] = []
     leaves = 0
     todo = [(np.arange(len(sample)), None, 0)]
@@ -42,9 +46,9 @@ def _fit_tree(sample: np.ndarray, rng: np.random.Generator, leaf: float, spill:
             leaves += 1
             continue
         middle = np.median(along)
-        margin = np.quantile(np.abs(along - middle), spill)
+        margin = max(np.quantile(np.abs(along - middle), spill), reach)
         left, right = rows[along <= middle + margin], rows[along > middle - margin]
-        if max(len(left), len(right)) > 0.9 * len(rows):
+        if max(len(left), len(right)) > 0.9 * len(rows) or len(left) + len(right) > (1 + 1.5 * spill) * len(rows):
             nodes.append([None, leaves, 0, 0, 0])
             leaves += 1
             continue
@@ -108,7 +112,9 @@ def near_vectors(
     points = _unit(points)
     rng = np.random.default_rng(seed)
     wanted = leaf * len(points) / max(total, 1)
-    fitted = [_fit_tree(points, rng, wanted, spill) for _ in range(trees)]
+    # half the length that the difference of two vectors at the threshold has along a random direction
+    reach = 0.5 * np.sqrt(2 * (1 - threshold) / max(width, 1))
+    fitted = [_fit_tree(points, rng, wanted, spill, reach) for _ in range(trees)]
     offsets = np.cumsum([0] + [sum(n[0] is None for n in tree) for tree in fitted]).tolist()
     forest = classes.sparkSession.sparkContext.broadcast(list(zip(offsets, fitted)))
     # floats travel as they came; their unit vectors are computed anew in double precision
