@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.llm import decontamination, jaccard_join, language_id, packing, secret_scan
+from scorewright.llm.common import stored
 from scorewright.llm.queries import tokenizer_path
 from scorewright.session import shared_folder
 
@@ -35,13 +36,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles at 0.8 or more, the smallest id stays.
-
-    A document without words is its own group. Rows that repeat an id are one document: the first by text
-    stays. Rows with a null id stay unless an identified document is in their group."""
-    groups = jaccard_join.jaccard_components(docs, size=5, percent=80)
-    keep = groups.filter("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(keep, "doc_id", "left_semi")
+    """Of each group of rows linked by five-word shingles at 0.8 or more, one row stays: the one with the smallest id,
+    then with the smallest hash of its text. A null id comes after all others, and its row is linked like any other.
+
+    Rows are told apart by a number of their own, so a repeated id says nothing: its rows stay or go by their
+    groups. A row without words is its own group; repeats of it under the same id are one."""
+    rows = stored(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard_join.jaccard_components(rows, size=5, percent=80, id_col="_row").toDF("_row", "n", "group")
+    wordless = F.col("n") == 0
+    rank = rows.select("_row", "doc_id", F.xxhash64(F.col("text").cast("binary")).alias("hash")).join(groups, "_row")
+    keep = rank.groupBy(
+        F.when(~wordless | F.col("doc_id").isNull(), F.col("group")).alias("g"),
+        F.when(wordless, F.col("doc_id")).alias("i"),
+        F.when(wordless, F.col("hash")).alias("h"),
+    ).agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "hash", "_row")).alias("first"))
+    return rows.join(keep.select("first._row"), "_row", "left_semi").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

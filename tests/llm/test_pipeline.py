@@ -17,7 +17,7 @@ import corpus_pipeline  # noqa: E402
 from scorewright.llm import secret_scan  # noqa: E402
 from scorewright.llm.queries import SQL, QUERIES  # noqa: E402
 
-from test_pairs import brute_components, brute_hits, texts  # noqa: E402
+from test_pairs import brute_components, brute_hits, shingles, texts  # noqa: E402
 from test_texts import brute_secrets  # noqa: E402
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -59,6 +59,51 @@ def test_pipeline_is_brute_force(spark, tmp_path):
     assert 5000 in expected and 5001 not in expected
 
 
+KIND = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def brute_first_rows(rows):
+    """One (id, text) row of each group: the smallest id, null ids last."""
+    sets = [shingles(t, 5) for _, t in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and 100 * len(a & b) >= 80 * len(a | b):
+                group = [group[j] if g == group[i] else g for g in group]
+    least = {}
+    for g, (i, t) in zip(group, rows, strict=True):
+        own = (i is None, i or 0, t)
+        least[g] = min(least.get(g, own), own)
+    return [(None if unknown else i, t) for unknown, i, t in least.values()]
+
+
+def test_near_duplicates_are_decided_by_row(spark):
+    a, b, c, d, e, f = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcdef")
+    near = {x: f"{x} more" for x in (b, d, e)}
+    rows = [(None, a), (5, f), (5, f), (3, b), (5, near[b]), (None, near[b]), (None, d), (None, near[d]), (8, e), (7, near[e]), (None, e), (6, ""), (6, ""), (None, " "), (None, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], KIND).repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    unknown = [x for x in kept if x[1] in (d, near[d])]
+    assert len(unknown) == 1 and unknown[0][0] is None
+    kept.remove(unknown[0])
+    assert Counter(kept) == Counter([(None, a), (5, f), (3, b), (7, near[e]), (6, ""), (None, " "), (None, " ")])
+
+
+def test_pipeline_with_null_and_repeated_ids(spark, tmp_path, monkeypatch):
+    clean = " ".join(f"clean{k}" for k in range(50))
+    rows = [*texts(11), (None, clean), (40, clean + " again"), (41, clean + " twice"), (41, "one row"), (41, "one row")]
+    items = [(1, texts(11)[40][1])]
+    table = [(i, t, "en" if k % 2 else "fr", "s", None if t is None else len(t)) for k, (i, t) in enumerate(rows)]
+    spark.createDataFrame(table, KIND).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[:-1])
+    found = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    lettered = [(i, t) for i, t in rows if t is not None and re.search(r"[^\W\d_]", t)]
+    expected = [(i, redacted(t)) for i, t in brute_first_rows(lettered) if not brute_hits([(i, t)], items, 10)[0][2]]
+    assert found == Counter(expected)
+    assert (40, clean + " again") in found and (41, "one row") in found and (41, clean + " twice") not in found
+
+
 def test_stages_keep_the_columns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(30)
     for name, stage in corpus_pipeline.STAGES[:-1]:
