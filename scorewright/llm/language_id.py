@@ -158,6 +158,18 @@ def predict(docs: DataFrame, model: dict[str, str], id_col: str = "doc_id", text
     return texts.mapInArrow(judge, "doc_id long, lang_pred string, score double, entropy double")
 
 
+def lettered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The doc_id of each row whose text has letters, by the rule of `predict`; no model is needed."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches):
+            has = [text is not None and bool(marked_words(text)) for text in batch.column("text").to_pylist()]
+            yield batch.select(["doc_id"]).filter(pa.array(has, pa.bool_()))
+
+    return texts.mapInArrow(judge, "doc_id long")
+
+
 def held_out(id_col: str = "doc_id", fold: int = 2, folds: int = 4):
     """True for ids kept from learning: crc32 of the id as text leaves this remainder. Null ids: false."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))

@@ -104,6 +104,13 @@ def test_pipeline_with_null_and_repeated_ids(spark, tmp_path, monkeypatch):
     assert (40, clean + " again") in found and (41, "one row") in found and (41, clean + " twice") not in found
 
 
+def test_unlabelled_documents_with_letters_stay(spark):
+    rows = [(1, "some words", None), (2, "123 ½", None), (3, None, None), (None, "été", None), (4, "", None)]
+    docs = spark.createDataFrame([(i, t, x, "s", 1) for i, t, x in rows], KIND)
+    kept = corpus_pipeline.identify_language(spark, docs, "").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(1, "some words"), (None, "été")])
+
+
 def test_stages_keep_the_columns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(30)
     for name, stage in corpus_pipeline.STAGES[:-1]:
