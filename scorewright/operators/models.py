@@ -26,7 +26,8 @@ from ..session import reliable_checkpoint
 from .confusion import classification_report, confusion, counts_at_thresholds, threshold_grid
 from .curves import ranking_metrics
 from .fairness import four_gaps
-from .mitigation import reweigh
+from .mitigation import reweigh, threshold_optimizer
+from .ordering import looked_up, small_lookup
 from .selection import choose_policy, select_preferred, union_frames
 from .splits import sample_n
 
@@ -351,23 +352,51 @@ def recall_optimise(
 
 def reweigh_compare(
     split: DataFrame, features: list[str], key: str, group: str = "SEX",
-    trainer: Trainer = train_boosted,
+    trainer: Trainer = train_boosted, thresholds: bool = False,
 ) -> DataFrame:
-    """Scores of the test rows with and without reweighing: ``model_name, group, y_*``."""
+    """Scores of the test rows with and without reweighing: ``model_name, group, y_*``.
+
+    With ``thresholds`` a third method, ``group_thresholds``: the baseline's decisions, as scores of 0
+    and 1, at per-group thresholds fitted on the rows it was trained on.
+    """
     groups = split.select(key, group)
 
     def weighted(df: DataFrame, names: list[str]) -> Scored:
         return trainer(reweigh(df, group), names, weight="weight")
 
+    def baseline() -> DataFrame:
+        model, predictions, _ = fit_evaluate(split, features, trainer, "baseline", key)
+        if not thresholds:
+            return predictions
+        train = model.predictions(_side(split, "train", "validation"), key, "baseline")
+        return union_frames(
+            [predictions, group_thresholds(train.join(groups, key), predictions.join(groups, key), group)]
+        )
+
     parts = fit_many(
         {
-            name: lambda name=name, t=t: fit_evaluate(split, features, t, name, key)[1]
-            for name, t in (("baseline", trainer), ("reweighing", weighted))
+            "baseline": baseline,
+            "reweighing": lambda: fit_evaluate(split, features, weighted, "reweighing", key)[1],
         }
     )
     return union_frames(parts).join(groups, key)
 
 
+def group_thresholds(train: DataFrame, test: DataFrame, group: str) -> DataFrame:
+    """Test predictions as scores of 0 and 1, cut at the thresholds fitted on the train predictions.
+
+    Rows without a group are a group of their own; a group that train lacks is cut at 0.50.
+    """
+    own = F.coalesce(F.col(group).cast("string"), F.lit("none"))
+    chosen = threshold_optimizer(train.withColumn("_group", own), "_group")
+    lookup = small_lookup(chosen, ["_group"], "threshold")
+    placed = looked_up(test.withColumn("_group", own), "_cut", lookup, ["_group"])
+    flagged = F.col("y_proba") >= F.coalesce("_cut", F.lit(0.50))
+    return placed.withColumns(
+        {"y_proba": flagged.cast("double"), "model_name": F.lit("group_thresholds")}
+    ).drop(group, "_group", "_cut")
+
+
 def tradeoff_table(scored: DataFrame, group: str = "SEX", threshold: float = 0.50) -> DataFrame:
     """One row per method (``model_name``): ``perf_*`` measures and ``fair_*`` gaps."""
     report = classification_report(scored, threshold, ["model_name"]).drop(

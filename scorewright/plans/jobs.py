@@ -221,12 +221,12 @@ def _weighted_logistic(df, features, positive_weight):
 
 @query("reweigh_train")
 def reweigh_train(spark, sf):
-    return M.reweigh_compare(split_table(spark, sf), PUBLIC_FEATURES, KEY, trainer=M.train_logistic)
+    return M.reweigh_compare(split_table(spark, sf), PUBLIC_FEATURES, KEY)
 
 
 @query("tradeoff_table")
 def tradeoff_table(spark, sf):
-    scored = M.reweigh_compare(split_table(spark, sf), PUBLIC_FEATURES, KEY, trainer=M.train_logistic)
+    scored = M.reweigh_compare(split_table(spark, sf), PUBLIC_FEATURES, KEY, thresholds=True)
     return M.tradeoff_table(scored)
 
 
@@ -235,7 +235,7 @@ def target_shuffle_auc(spark, sf):
     """Report of a model trained on a shuffled target; its area should be near one half."""
     table = split_table(spark, sf)
     shuffled = P.target_shuffle(table, KEY)
-    return M.fit_evaluate(shuffled, PUBLIC_FEATURES, M.train_logistic, "shuffled", KEY)[2]
+    return M.fit_evaluate(shuffled, PUBLIC_FEATURES, M.train_boosted, "shuffled", KEY)[2]
 
 
 _NOTES = [
