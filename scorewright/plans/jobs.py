@@ -151,21 +151,14 @@ def fit_evaluate(spark, sf):
     return M.fit_evaluate(table, PUBLIC_FEATURES, M.train_logistic, "logistic_public", KEY)[2]
 
 
-def _short_boosted(df, features, **options):
-    """The boosted learner with fewer trees, for queries that fit it several times."""
-    return M.train_boosted(df, features, trees=20, **options)
-
-
 @query("ablation")
 def ablation(spark, sf):
-    return M.ablation(split_table(spark, sf), PUBLIC_FEATURES, KEY, _short_boosted)
+    return M.ablation(split_table(spark, sf), PUBLIC_FEATURES, KEY)
 
 
 @query("standard_compare")
 def standard_compare(spark, sf):
-    return M.standard_compare(
-        split_table(spark, sf), PUBLIC_FEATURES, DIAGNOSTIC_FEATURES, KEY, _short_boosted
-    )
+    return M.standard_compare(split_table(spark, sf), PUBLIC_FEATURES, DIAGNOSTIC_FEATURES, KEY)
 
 
 @query("external_benchmark")
@@ -173,7 +166,7 @@ def external_benchmark(spark, sf):
     """Two models on text-coded columns: measures, and gaps by sex and by age group."""
     table = P.split_simple(categorical_codes(V.applicants(spark, sf)), KEY)
     people = V.applicants(spark, sf).select(KEY, "SEX", "AGE")
-    models = {"logistic_regression": M.train_logistic, "boosted": _short_boosted}
+    models = {"logistic_regression": M.train_logistic, "boosted": M.train_boosted}
     scores = M.union_frames(
         M.fit_many(
             {
@@ -199,7 +192,7 @@ def proxy_predictability(spark, sf):
 @query("importance")
 def importance(spark, sf):
     train = split_table(spark, sf).where("split <> 'test'")
-    return M.importance(_short_boosted(train, PUBLIC_FEATURES))
+    return M.importance(M.train_boosted(train, PUBLIC_FEATURES))
 
 
 @query("recall_optimise")
@@ -503,7 +496,7 @@ def median_relation(spark, sf):
 def attribution_tree(spark, sf):
     """Sampled Shapley values of a boosted model, compared between the sexes."""
     table = split_table(spark, sf)
-    model = _short_boosted(table.where("split <> 'test'"), PUBLIC_FEATURES)
+    model = M.train_boosted(table.where("split <> 'test'"), PUBLIC_FEATURES)
     test = G.with_sex_group(M._as_double(table.where("split = 'test'"), PUBLIC_FEATURES))
     sample = P.stratified_sample(test, "sex_code", 200, KEY)
     scaled = M.PipelineModel(model.pipeline.stages[:-1]).transform(sample)

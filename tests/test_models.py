@@ -9,13 +9,17 @@ from scorewright.plans.jobs import split_table
 from scorewright.plans.tables import KEY
 
 BASE = ["LIMIT_BAL", "AGE", "PAY_0", "BILL_AMT1"]
+BOOSTED = [
+    "reweigh_train", "tradeoff_table", "target_shuffle_auc", "importance", "attribution_tree", "ablation",
+    "standard_compare", "external_benchmark",
+]
 
 
 class Fitted(Exception):
     pass
 
 
-@pytest.mark.parametrize("name", ["reweigh_train", "tradeoff_table", "target_shuffle_auc"])
+@pytest.mark.parametrize("name", BOOSTED)
 def test_queries_fit_the_whole_boosted_model(name, spark, sf, monkeypatch):
     fit, seen = M._fit, []
 
