@@ -46,11 +46,14 @@ def count_tokens(
 
     `docs` needs an id and a text; other columns are ignored, whatever their names. Null texts count as
     empty: 0 bytes, 0 tokens. Null and repeated ids keep their rows. An empty table gives no rows. The
-    frequent table is fitted on at most `sample_rows` texts of `sample_chars` characters; whole texts are
-    counted.
+    frequent table is fitted on about `sample_rows` texts (twice as many at most), drawn from the whole table by
+    a hash of id and text, and their first `sample_chars` characters; whole texts are counted.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = texts.select(F.substring("text", 1, sample_chars).alias("text")).limit(sample_rows).collect()
+    share = F.lit(int(min(1.0, sample_rows / max(texts.count(), 1)) * (1 << 30)))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    drawn = texts.select(draw.alias("draw"), F.substring("text", 1, sample_chars).alias("text")).filter(F.col("draw") <= share)
+    sample = drawn.orderBy("draw").limit(2 * sample_rows).select("text").collect()
     first = texts.sparkSession.sparkContext.broadcast(
         frequent_pieces([r["text"] for r in sample], tokenizer_path, table_size)
     )

@@ -45,6 +45,14 @@ def test_token_counts_are_the_librarys(documents, sample):
     assert token_counts.count_tokens(documents([]), PATH).count() == 0
 
 
+def test_frequent_pieces_come_from_the_whole_table(spark, monkeypatch):
+    seen, made = [], token_counts.frequent_pieces
+    monkeypatch.setattr(token_counts, "frequent_pieces", lambda texts, *more: seen.extend(texts) or made(texts, *more))
+    rows = [(k, "first" if k < 200 else "last") for k in range(400)]
+    found = token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), PATH, sample_rows=40)
+    assert set(seen) == {"first", "last"} and 10 < len(seen) <= 80 and found.count() == 400
+
+
 def test_packing_is_a_round_trip(documents, sample):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "null id"), (7, "twice"), (7, "twice")]
     table = documents(rows).select("doc_id", "text").union(sample.select("doc_id", "text"))
