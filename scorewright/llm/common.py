@@ -6,6 +6,7 @@ spaces (0x20, 0x09-0x0D) and `bytes.lower` changes exactly A-Z, which is what th
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,33 +17,104 @@ from pyspark.sql import DataFrame
 
 from ..session import shared_folder
 
-#: Entries that a worker's cache of word hashes holds before it starts anew.
-CACHE_ENTRIES = 400_000
+#: Bytes that a worker's memo holds before it starts anew, and the longest key that it keeps.
+CACHE_BYTES = 96 << 20
+LONGEST_KEY = 64
+#: Bytes of text that an operator takes apart at once.
+CHUNK_BYTES = 4 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _caches: dict[str, object] = {}
+_owner: list[str] = []
 
 
-def worker_cache(name: str, make: Callable[[], object]) -> object:
-    """A thing that is made once for each Python worker."""
+def worker_cache(owner: str, name: str, make: Callable[[], object]) -> object:
+    """A thing that is made once for each Python worker, for one operator at a time: Spark hands a worker
+    from job to job, and what the operator before had kept goes when another one asks."""
+    if _owner != [owner]:
+        _caches.clear()
+        _owner[:] = [owner]
     if name not in _caches:
         _caches[name] = make()
     return _caches[name]
 
 
 class Remembered(dict):
-    """A bounded memo: computes a missing value, and forgets all when it is full."""
+    """A memo bounded by bytes: computes a missing value, and forgets all when it is full. Values of
+    long keys (base64 and minified lines) are computed each time."""
 
-    def __init__(self, function: Callable, limit: int = CACHE_ENTRIES):
+    def __init__(self, function: Callable, limit: int = CACHE_BYTES):
         super().__init__()
-        self.function, self.limit = function, limit
+        self.function, self.limit, self.held = function, limit, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        value = self.function(key)
+        if len(key) > LONGEST_KEY:
+            return value
+        size = sys.getsizeof(key) + sys.getsizeof(value) + 100  # and the dictionary's own
+        if self.held + size > self.limit:
             self.clear()
-        value = self[key] = self.function(key)
+            self.held = 0
+        self.held += size
+        self[key] = value
         return value
 
 
+def chunks_of(batches: Iterator[pa.RecordBatch], column: str, at_most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most so many bytes of text, or of one row."""
+    for batch in batches:
+        texts = batch.column(column)
+        if not batch.num_rows:
+            continue
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + at_most, "right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text or binary column, one after another, and where each value starts and the last ends."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and offsets[-1] > offsets[0] else np.empty(0, np.uint8)
+    return flat, (offsets - offsets[0]).astype(np.int64)
+
+
+#: Classes of bytes for `pieces_of`.
+OTHER, LETTER, MARK, GAP = 0, 1, 2, 4
+
+
+def byte_classes(gaps: bytes, letters: bytes = b"", marks: bytes = b"") -> np.ndarray:
+    table = np.zeros(256, np.uint8)
+    for kind, members in ((LETTER, letters), (MARK, marks), (GAP, gaps)):
+        table[np.frombuffer(members, np.uint8)] = kind
+    return table
+
+
+def pieces_of(texts: pa.Array, classes: np.ndarray, change: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Texts cut at gaps, and between letters and marks, without a Python object for each piece: the
+    number of every piece's value, where each text's pieces start and the last ones end, and the distinct
+    values. `change` is what each byte becomes before that."""
+    flat, offsets = bytes_of(texts)
+    if change is not None:
+        flat = change[flat]
+    kinds = classes[flat]
+    before = np.empty_like(kinds)
+    if len(kinds):
+        before[0] = GAP
+        before[1:] = kinds[:-1]
+        starts = offsets[:-1]
+        before[starts[starts < len(kinds)]] = GAP
+    kept = kinds != GAP
+    begins = (((kinds | before) == LETTER + MARK) | (before == GAP)) & kept
+    at = np.flatnonzero(begins)
+    ends = np.append(np.flatnonzero(begins[kept]), np.count_nonzero(kept)).astype(np.int32)
+    values = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(flat[kept])])
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(at, offsets), coded.dictionary
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Every bit of a 64-bit hash depends on every other (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):
@@ -52,7 +124,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    memo = worker_cache("words", lambda: Remembered(xxhash.xxh3_64_intdigest))
+    memo = worker_cache("words", "words", lambda: Remembered(xxhash.xxh3_64_intdigest))
     return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
 

@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows_of, worker_cache
-from .tokens import pieces, remembered
+from .common import chunks_of, rows_of
+from .tokens import encoder, load
 
 #: Documents of a group, on average.
 GROUP_DOCS = 512
+#: Groups that a task packs, one after the other.
+TASK_GROUPS = 32
 
 
 class Tournament:
@@ -121,19 +123,18 @@ def pack_documents(
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     groups = max(1, -(-texts.count() // group_docs))
-    ending = np.uint32(end_id).tobytes()
+    # so many groups that a task sorts some 50 MB of ids; more tasks where the machines would else be idle
+    tasks = max(-(-groups // TASK_GROUPS), min(groups, docs.sparkSession.sparkContext.defaultParallelism))
+    kind = np.dtype("<u2" if load(tokenizer_path).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = worker_cache(
-            f"token ids {tokenizer_path}",
-            lambda: remembered(tokenizer_path, lambda ids: np.array(ids, "<u4").tobytes(), bytes.__add__),
-        )
-        ids_of = memo.__getitem__
-        for batch in rows_of(batches):
-            ids = [b"".join(map(ids_of, pieces(t))) + ending for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("group"), batch.column("doc_id"), pa.array(ids, pa.binary())], ["group", "doc_id", "ids"]
-            )
+        own = encoder("packing", tokenizer_path)
+        for batch in chunks_of(batches, "text"):
+            ids, bounds = own.encode(batch.column("text"), end_id)
+            ids = ids.astype(kind, copy=False)
+            offsets = pa.py_buffer((bounds * kind.itemsize).astype(np.int32))
+            packed = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("doc_id"), packed], ["group", "doc_id", "ids"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One group after the other, sorted by group."""
@@ -142,27 +143,29 @@ def pack_documents(
             for group, doc_id, ids in zip(*(batch.column(c).to_pylist() for c in ("group", "doc_id", "ids")), strict=True):
                 if group != key:
                     if members:
-                        yield from _pieces(key, members, size)
+                        yield from _pieces(key, members, size, kind)
                     key, members = group, []
                 members.append((doc_id, ids))
         if members:
-            yield from _pieces(key, members, size)
+            yield from _pieces(key, members, size, kind)
 
     place_in_input = F.monotonically_increasing_id()
     return (
         texts.select(F.pmod(F.xxhash64("doc_id", place_in_input), F.lit(groups)).alias("group"), "doc_id", "text")
         .mapInArrow(encode, "group long, doc_id long, ids binary")
-        .repartition("group")
+        .repartition(tasks, "group")
         .sortWithinPartitions("group")
         .mapInArrow(place, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     )
 
 
-def _pieces(group: int, members: list[tuple[int, bytes]], size: int) -> Iterator[pa.RecordBatch]:
-    placed = pack([len(ids) // 4 for _, ids in members], size)
+def _pieces(group: int, members: list[tuple[int, bytes]], size: int, kind: np.dtype) -> Iterator[pa.RecordBatch]:
+    """The group's pieces; their ids are widened to 32 bits."""
+    members = [(doc_id, np.frombuffer(ids, kind)) for doc_id, ids in members]
+    placed = pack([len(ids) for _, ids in members], size)
     for k in range(0, len(placed), 1000):
         rows = [
-            (members[i][0], start, n, members[i][1][4 * start : 4 * (start + n)], len(members[i][1]) // 4, (group << 32) + s, offset)
+            (members[i][0], start, n, members[i][1][start : start + n].astype("<u4").tobytes(), len(members[i][1]), (group << 32) + s, offset)
             for i, start, n, s, offset in placed[k : k + 1000]
         ]
         kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3

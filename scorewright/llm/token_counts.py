@@ -17,19 +17,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows_of, worker_cache
-from .tokens import pieces, remembered
+from .common import Remembered, chunks_of, pieces_of, worker_cache
+from .tokens import CLASSES, Encoder
 
 
 def frequent_pieces(texts: list[str], path: str, table_size: int) -> tuple[bytes, bytes]:
     """The most frequent pieces, and their token counts as 16-bit numbers; both compressed."""
     often = Counter()
-    for text in texts:
-        often.update(p for p in pieces(text) if len(p) <= 64)
-    memo = remembered(path, len, int.__add__)
-    chosen = [p for p, n in sorted(often.items(), key=lambda x: (-x[1], x[0]))[:table_size] if n > 1]
-    sizes = np.array([memo[p] for p in chosen], np.uint16)
-    return zlib.compress("\n".join(chosen).encode()), zlib.compress(sizes.tobytes())  # no piece has a line end
+    for k in range(0, len(texts), 200):
+        codes, _, values = pieces_of(pa.array(texts[k : k + 200], pa.string()), CLASSES)
+        times = np.bincount(codes, minlength=len(values)).tolist()
+        often.update({p: n for p, n in zip(values.to_pylist(), times, strict=True) if len(p) <= 64})
+    own = Encoder(path)
+    chosen = [p for p, n in sorted(often.items(), key=lambda x: (-x[1], x[0]))[:table_size] if n > 1 and own.by_piece]
+    sizes = np.array([len(own.ids(p.decode())) for p in chosen], np.uint16)
+    return zlib.compress(b"\n".join(chosen)), zlib.compress(sizes.tobytes())  # no piece has a line end
 
 
 def count_tokens(
@@ -60,16 +62,22 @@ def count_tokens(
 
     def both_tiers():
         names, sizes = first.value
-        memo = remembered(tokenizer_path, len, int.__add__)
+        own = Encoder(tokenizer_path)
+        memo = Remembered(lambda piece: len(own.ids(piece.decode())))
         sizes = np.frombuffer(zlib.decompress(sizes), np.uint16).tolist()
         if sizes:
-            memo.update(zip(zlib.decompress(names).decode().split("\n"), sizes, strict=True))
-        return memo
+            memo.update(zip(zlib.decompress(names).split(b"\n"), sizes, strict=True))
+        return own, memo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens_of = worker_cache(f"token counts {tokenizer_path}", both_tiers).__getitem__
-        for batch in rows_of(batches):
-            n = [sum(map(tokens_of, pieces(t))) for t in batch.column("text").to_pylist()]
+        own, memo = worker_cache("token counts", tokenizer_path, both_tiers)
+        for batch in chunks_of(batches, "text"):
+            if own.by_piece:
+                codes, bounds, values = pieces_of(batch.column("text"), CLASSES)
+                sizes = np.fromiter(map(memo.__getitem__, values.to_pylist()), np.int64, len(values))
+                n = np.diff(np.append(0, np.cumsum(sizes[codes]))[bounds])
+            else:
+                n = [len(own.library.encode(t, add_special_tokens=False).ids) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
             )
