@@ -10,10 +10,11 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from scorewright.llm import language_id, packing, secret_scan, token_counts, url_filters, warc
+from scorewright.llm import common, language_id, packing, secret_scan, token_counts, url_filters, warc
 from scorewright.llm.queries import QUERIES, RULES
 from scorewright.session import shared_folder
 
@@ -116,15 +117,90 @@ def test_tournament_finds_the_first_bin_with_room():
 
 def test_suffix_automaton_parses_as_brute_force_does():
     rng = random.Random(2)
-    for _ in range(200):
-        known = "".join(rng.choice("abc ") for _ in range(30))
-        text = "".join(rng.choice("abcd ") for _ in range(20))
-        n, at = 0, 0
-        while at < len(text):
-            length = max((k for k in range(len(text) - at + 1) if text[at : at + k] in known), default=0)
-            at += max(1, length)
-            n += 1
-        assert language_id.SuffixAutomaton(known).phrases(text) == n
+    for _ in range(60):
+        known = "".join(rng.choice("abc é") for _ in range(rng.choice([0, 30])))
+        words = ["".join(rng.choice("abcd é日") for _ in range(rng.randint(0, 20))) for _ in range(8)]
+        assert language_id.SuffixAutomaton(known).phrases(words).tolist() == [brute_phrases(known, w) for w in words]
+
+
+def brute_phrases(known, text):
+    n, at = 0, 0
+    while at < len(text):
+        length = max((k for k in range(len(text) - at + 1) if text[at : at + k] in known), default=0)
+        at += max(1, length)
+        n += 1
+    return n
+
+
+def test_languages_are_brute_force(documents, sample):
+    """The predictions for whole texts, against longest matches found by searching the learned text itself."""
+    learned = documents([(1, "the cat and the other dog were there", "en"), (2, "el gato y el otro perro estaban ahí", "es"), (3, "le chat et l'autre chien étaient là", "fr")])
+    model = language_id.fit(learned)
+    texts = ["", "THE dog", "y chat", "a " * 300, "x" * 200 + " el", "12 día-là", "Ångström perro\x0bchien"] + [r["text"][:3000] for r in sample.select("text").limit(20).collect()]
+    found = {r["doc_id"]: r for r in language_id.predict(documents(list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        words = language_id.marked_words(text)
+        n = [sum(brute_phrases(model[lang], w) for w in words) for lang in sorted(model)]
+        if not words:
+            assert found[i]["lang_pred"] == "und" and found[i]["entropy"] is None
+            continue
+        assert found[i]["lang_pred"] == sorted(model)[n.index(min(n))]
+        assert math.isclose(found[i]["score"], 1 / sum(math.exp(max(min(n) - x, -700)) for x in n))
+        assert math.isclose(found[i]["entropy"], min(n) / sum(map(len, words)))
+
+
+def test_whole_texts_are_learned(documents):
+    model = language_id.fit(documents([(1, "word " * 3000 + "last", "en")]))
+    assert model == {"en": " last  word "}
+
+
+def test_a_second_operators_cache_replaces_the_first():
+    first = common.worker_cache("one", "a", lambda: [1])
+    assert common.worker_cache("one", "a", lambda: [2]) is first and common.worker_cache("one", "b", lambda: 3) == 3
+    assert common.worker_cache("two", "c", lambda: 4) == 4
+    assert list(common._caches) == ["c"] and common.worker_cache("one", "a", lambda: [2]) == [2]
+
+
+def test_memos_are_bounded_by_bytes():
+    memo = common.Remembered(lambda key: key.upper(), limit=10_000)
+    for k in range(1000):
+        assert memo[b"key%d" % k] == b"KEY%d" % k
+        assert memo.held <= 10_000
+    assert memo[b"x" * 100_000] == b"X" * 100_000 and b"x" * 100_000 not in memo
+
+
+def test_pieces_are_those_of_the_texts():
+    texts = ["a b", "", "  ", "don't,stop. now", "x" * 100, "é,b..c", "tail "]
+    classes = common.byte_classes(b" ", b"abcdefghijklmnopqrstuvwxyz", b".,")
+    column = pa.array(["skipped", *texts])[1:]  # a slice, with an offset
+    codes, bounds, values = common.pieces_of(column, classes)
+    values = [v.decode() for v in values.to_pylist()]
+    found = [[values[c] for c in codes[a:b]] for a, b in zip(bounds, bounds[1:])]
+    assert found == [["a", "b"], [], [], ["don't", ",", "stop", ".", "now"], ["x" * 100], ["é,", "b", "..", "c"], ["tail"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    parts = list(common.chunks_of(iter([batch]), "t", 5))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts and len(parts) > 3
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_another_tokenizer_is_encoded_whole(documents, name):
+    path = public_tokenizers.path(name)
+    rows = list(enumerate([*ODD, "Hello World, it is.\nNew line", "base64 " + "QUJD" * 3000 + "."]))
+    t = Tokenizer.from_file(path)
+    expected = {i: t.encode(text or "", add_special_tokens=False).ids for i, text in rows}
+    counted = token_counts.count_tokens(documents(rows), path).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in counted} == {i: len(ids) for i, ids in expected.items()}
+    packed = {}
+    for p in sorted(packing.pack_documents(documents(rows), path).collect(), key=lambda p: p["start"]):
+        packed[p["doc_id"]] = packed.get(p["doc_id"], []) + np.frombuffer(p["ids"], "<u4").tolist()
+    assert packed == {i: [*ids, 2] for i, ids in expected.items()}
+
+
+def test_packing_of_a_whole_table_pads_nothing(spark):
+    """op2 on a whole table: every sequence is full or a power of two, and few are not full."""
+    pieces = QUERIES["op2_packing"](spark, "/root/testdata/sf0.01").groupBy("sequence_id").sum("length").collect()
+    totals = [r[1] for r in pieces]
+    assert all(n == 4096 or n & (n - 1) == 0 for n in totals) and sum(n < 4096 for n in totals) <= 24
 
 
 def test_languages_of_held_out_documents(spark):
