@@ -27,11 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Learns from the documents' own labels. Rows with null ids stay if their text has letters; repeated
     rows are judged alike. Without labelled rows nothing was learned, and all texts with letters stay."""
-    model = language_id.fit(docs)
-    rows = docs.select(*COLUMNS).withColumn("_row", F.xxhash64("text"))
-    texts = rows.filter("text is not null").groupBy("_row").agg(F.first("text").alias("text")).select(F.col("_row").alias("doc_id"), "text")
-    known = language_id.predict(texts, model).filter("lang_pred <> 'und'") if model else language_id.lettered(texts)
-    return rows.join(known.select(F.col("doc_id").alias("_row")), "_row", "left_semi").select(*COLUMNS)
+    return language_id.keep_told(docs.select(*COLUMNS), language_id.fit(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
