@@ -1,4 +1,4 @@
-"""The registered queries of this package, op1 to op10 and the pipeline, and the SQL that checks them.
+"""The registered queries of this package, op1 to op13, and the SQL that checks them.
 
 Each applies its operator, with production parameters, to its whole table and derives the digest columns
 from what the operator returns.
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_folder
 from . import (
-    decontamination, forest_dedup, jaccard_join, language_id, packing, secret_scan, substring_dedup, token_counts,
-    url_filters, warc,
+    collocations, decontamination, forest_dedup, jaccard_join, language_id, lexical_search, packing, secret_scan, substring_dedup,
+    token_counts, url_filters, warc,
 )
 from .common import stored
 
@@ -177,3 +177,41 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     judged = url_filters.judge_urls(table(spark, sf_dir, "pages"), RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op12_collocations", r"""
+with pieces as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents where text is not null),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+g as (select lang, k, w[i:i + k - 1] as p from (select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) as i
+  from w, range(1, 5) r(k) where len(w) >= k)),
+f as (select lang, k, p, count(*) as f from g group by all),
+n as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+c as (select * from f where f >= 30),
+cuts as (select c.lang, c.k, c.p, c.f as a, i, x.f as l, y.f as r, (2000000::hugeint * c.f) // (x.f + y.f) as score
+  from c, range(1, 4) r(i), f x, f y where i < c.k and x.lang = c.lang and x.p = c.p[1:i] and y.lang = c.lang and y.p = c.p[i + 1:c.k]),
+least as (select lang, p, any_value(k) as k, any_value(a) as a, min(struct_pack(score := score, i := i, l := l, r := r)) as cut from cuts group by lang, p),
+subs as (select lang, p[s:s + m - 1] as p, f from c, range(2, 4) r(m), range(1, 4) q(s) where m < k and s + m - 1 <= k),
+covered as (select distinct least.lang, least.p from least join subs on subs.lang = least.lang and subs.p = least.p where 100 * subs.f >= 80 * least.a),
+kept as (select lang, array_to_string(p, ' ') as phrase, a, cut.l as l, cut.r as r, cut.score::bigint as score from least anti join covered using (lang, p)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= 2000""")
+def op12(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@query("op13_lexical_search", r"""
+with d as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+n as (select doc_id, len(w) as n from d where len(w) > 0),
+g as (select count(*) as docs, sum(n)::bigint as total from n),
+q as (select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(w) as term from d) where term in (select term from q) group by all),
+w as (select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w from tf, g group by term),
+s as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::bigint as score
+  from tf join w using (term) join n using (doc_id) join q using (term), g group by item_id, doc_id)
+select * from (select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::integer as rank, doc_id, score
+  from s where score > 0) where rank <= 50""")
+def op13(spark, sf_dir):
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
