@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 from . import (
     collocations, decontamination, forest_dedup, jaccard_join, language_id, lexical_search, packing, secret_scan, substring_dedup,
-    token_counts, url_filters, warc,
+    suffix_radix, token_counts, url_filters, warc,
 )
 from .common import stored
 
@@ -179,6 +179,24 @@ def op10(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op11_suffix_radix", r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+parts as (select doc_id, r, regexp_extract_all(substr(h, (2 * r + 1)::bigint), '.{200}') as t from d, range(100) s(r) where length(h) >= 200),
+win as (select doc_id, r + 100 * (j - 1) as s, t[j] as t from (select *, unnest(generate_series(1, len(t))) as j from parts)),
+bad as (select doc_id, s from (select doc_id, s, row_number() over (partition by t order by doc_id, s) as k from win) where k > 1),
+b as (select doc_id, unnest(generate_series(1, len(w))) - 1 as p, unnest(w) as x from (select doc_id, regexp_extract_all(h, '..') as w from d)),
+seen as (select b.doc_id, p, x, max(s) over (partition by b.doc_id order by p) as last from b left join bad on bad.doc_id = b.doc_id and s = p),
+gone as (select doc_id, p, x, coalesce(p - last < 100, false) as gone from seen),
+runs as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by p), false) as begins from gone),
+sums as (select doc_id, count_if(gone) as n_removed, count_if(begins) as n_spans, string_agg(x, '' order by p) filter (not gone) as kept from runs group by doc_id)
+select d.doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(kept, ''))) as kept_sha256
+from d left join sums using (doc_id)""")
+def op11(spark, sf_dir):
+    kept = suffix_radix.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op12_collocations", r"""
 with pieces as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents where text is not null),
