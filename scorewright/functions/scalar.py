@@ -83,3 +83,8 @@ def row_signature(df, names: list[str], places: int | None = None) -> Column:
 def hash_order(*values, seed: int = 42) -> Column:
     """Fixed random order of rows: md5 of their key and a seed."""
     return F.md5(F.concat_ws("|", *[as_col(v).cast("string") for v in values], F.lit(str(seed))))
+
+
+def hash_share(*values, seed: int = 42) -> Column:
+    """A number in [0, 1) fixed by the values and a seed."""
+    return F.pmod(F.xxhash64(*[as_col(v) for v in values], F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))

@@ -11,30 +11,30 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import PAY_STATUS, TARGET, UTILISATION_FEATURES
 from ..session import reliable_checkpoint
+from .boosting import TREES, Boosted, Spec, boost_many, many_predictions
 from .confusion import classification_report, confusion, counts_at_thresholds, threshold_grid
 from .curves import ranking_metrics
 from .fairness import four_gaps
-from .mitigation import reweigh, threshold_optimizer
-from .ordering import looked_up, small_lookup
+from .mitigation import equalised_odds, mixed_decision, reweigh
+from .neighbours import oversample_minority
+from .ordering import exact_quantiles
 from .selection import choose_policy, select_preferred, union_frames
 from .splits import sample_n
 
 SEED = 42
 # Learner settings.
 LOGISTIC_ITERATIONS = 1500
-TREES, DEPTH, RATE, SHARE = 150, 4, 0.05, 0.9
 FOREST_TREES, FOREST_LEAF = 120, 20
 HIDDEN_LAYERS = [64, 32, 16]
 
@@ -48,15 +48,18 @@ def split_types(df: DataFrame, features: list[str]) -> tuple[list[str], list[str
 def preprocess_stages(df: DataFrame, features: list[str], output: str = "features") -> list:
     """Median and scaling for numbers; most frequent value and one-hot for text.
 
-    The imputation median is MLlib's (rank error 0.001). Text levels are indexed by frequency,
-    so an unseen or missing level gets a slot of its own.
+    Medians are exact, found at once on ``df``; a column without any value is filled with 0. Text levels
+    are indexed by frequency, so an unseen or missing level gets a slot of its own.
     """
     numbers, text = split_types(df, features)
     stages, parts = [], []
     if numbers:
         filled = [f"{n}__filled" for n in numbers]
+        present = df.select(*[F.when(~F.isnan(F.col(n).cast("double")), F.col(n).cast("double")).alias(n) for n in numbers])
+        middle = {r["feature"]: r["quantiles"][0] for r in exact_quantiles(present, numbers, [0.5]).collect()}
+        fill = ", ".join(f"coalesce(nullif(cast(`{n}` as double), double('NaN')), {middle.get(n, 0.0)!r}D) as `{f}`" for n, f in zip(numbers, filled))
         stages += [
-            Imputer(inputCols=numbers, outputCols=filled, strategy="median"),
+            SQLTransformer(statement=f"select *, {fill} from __THIS__"),
             VectorAssembler(inputCols=filled, outputCol="numbers"),
             StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True),
         ]
@@ -108,8 +111,12 @@ class Scored:
 
 
 def _fit(df: DataFrame, features: list[str], estimator) -> Scored:
-    stages = [*preprocess_stages(df, features), estimator]
-    return Scored(Pipeline(stages=stages).fit(_as_double(df, features)), features)
+    """The vectors are written once; the learner's many passes read these."""
+    table = _as_double(df, features)
+    prepared = Pipeline(stages=preprocess_stages(df, features)).fit(table)
+    kept = [estimator.getLabelCol(), *([estimator.getWeightCol()] if estimator.hasParam("weightCol") and estimator.isSet("weightCol") else [])]
+    vectors = reliable_checkpoint(prepared.transform(table).select("features", *dict.fromkeys(kept)))
+    return Scored(PipelineModel([*prepared.stages, estimator.fit(vectors)]), features)
 
 
 def with_class_weight(df: DataFrame, positive: float | None, target: str = TARGET) -> DataFrame:
@@ -144,14 +151,10 @@ def train_logistic(
 def train_boosted(
     df: DataFrame, features: list[str], target: str = TARGET, weight: str | None = None,
     positive_weight: float = 1.0, trees: int = TREES,
-) -> Scored:
-    """Gradient-boosted trees with row and column sampling and a positive-class weight."""
-    table = df if weight else with_class_weight(df, positive_weight, target)
-    learner = GBTClassifier(
-        labelCol=target, weightCol=weight or "weight", maxIter=trees, maxDepth=DEPTH,
-        stepSize=RATE, subsamplingRate=SHARE, featureSubsetStrategy=str(SHARE), seed=SEED,
-    )
-    return _fit(table, features, learner)
+) -> Boosted:
+    """Second-order boosted trees with row and column sampling and a positive-class weight."""
+    spec = Spec(positive_weight, weight)
+    return boost_many(df, features, {"boosted": spec}, target, trees)["boosted"]
 
 
 def train_forest(df: DataFrame, features: list[str], target: str = TARGET) -> Scored:
@@ -170,13 +173,14 @@ def train_mlp(
     if copies > 1:
         times = F.when(F.col(target) == 1, copies).otherwise(1)
         table = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
-    stages = preprocess_stages(table, features)
-    prepared = Pipeline(stages=stages).fit(_as_double(table, features))
-    width = len(prepared.transform(_as_double(table, features)).select("features").first()[0])
+    typed = _as_double(table, features)
+    prepared = Pipeline(stages=preprocess_stages(table, features)).fit(typed)
+    vectors = reliable_checkpoint(prepared.transform(typed).select("features", target))
+    width = len(vectors.select("features").first()[0])
     learner = MultilayerPerceptronClassifier(
         labelCol=target, layers=[width, *HIDDEN_LAYERS, 2], maxIter=iterations, seed=SEED
     )
-    return _fit(table, features, learner)
+    return Scored(PipelineModel([*prepared.stages, learner.fit(vectors)]), features)
 
 
 Trainer = Callable[[DataFrame, list[str]], Scored]
@@ -246,15 +250,18 @@ def ablation(split: DataFrame, features: list[str], key: str, trainer: Trainer =
     return union_frames(rows).withColumnRenamed("model_name", "ablation").orderBy(F.desc("roc_auc"))
 
 
-def importance(model: Scored) -> DataFrame:
+def importance(model: Scored | Boosted) -> DataFrame:
     """Feature importances of a tree model or coefficients of a linear one, largest first.
 
-    For models on numeric features, whose vector has one entry per feature.
+    Boosted trees: a feature's mean gain a split, as a share of all. For other models on numeric features, whose vector has one entry per feature.
     """
-    learner = model.pipeline.stages[-1]
-    linear = hasattr(learner, "coefficients")
-    values = learner.coefficients if linear else learner.featureImportances
-    rows = [(n, float(v)) for n, v in zip(model.features, values.toArray())]
+    if isinstance(model, Boosted):
+        rows = [(n, float(v)) for n, v in model.importances().items()]
+    else:
+        learner = model.pipeline.stages[-1]
+        linear = hasattr(learner, "coefficients")
+        values = learner.coefficients if linear else learner.featureImportances
+        rows = [(n, float(v)) for n, v in zip(model.features, values.toArray())]
     spark = SparkSession.getActiveSession()
     table = spark.createDataFrame(rows, "feature string, score double")
     return table.withColumn("absolute_score", F.abs("score")).orderBy(F.desc("absolute_score"))
@@ -306,46 +313,95 @@ def proxy_predictability(
     return union_frames(reports), union_frames(scores).orderBy("model", F.desc("absolute_score"))
 
 
+def _both_sides(split: DataFrame, fit_and_score: Callable[[tuple[str, ...], str], DataFrame]) -> DataFrame:
+    """Predictions of the validation rows by models of the train rows, and of the test rows by models of both."""
+    return union_frames(
+        fit_many(
+            {
+                "inner": lambda: fit_and_score(("train",), "validation"),
+                "final": lambda: fit_and_score(("train", "validation"), "test"),
+            }
+        )
+    )
+
+
+def weighted_scores(split: DataFrame, features: list[str], specs: dict[str, Spec], key: str, trees: int = TREES) -> DataFrame:
+    """Held-out predictions of one boosted model a spec; the models of a side are fitted in the same passes."""
+
+    def fit_and_score(train: tuple[str, ...], held: str) -> DataFrame:
+        models = boost_many(_side(split, *train), features, specs, trees=trees)
+        return many_predictions(models, _side(split, held), key)
+
+    return _both_sides(split, fit_and_score)
+
+
+def resampled_scores(split: DataFrame, features: list[str], specs: dict[str, Spec], key: str, trees: int = TREES) -> DataFrame:
+    """The same with new minority rows among the train rows, made between neighbours in scaled features.
+
+    Filling, scaling and new rows come from the train rows of the side alone.
+    """
+
+    def fit_and_score(train: tuple[str, ...], held: str) -> DataFrame:
+        table = _as_double(split, features)
+        prepared = Pipeline(stages=preprocess_stages(_side(split, *train), features)).fit(_side(table, *train))
+        vectors = prepared.transform(table).select(key, TARGET, "split", vector_to_array("features").alias("_v"))
+        width = len(vectors.select("_v").first()[0])
+        names = [f"f{i}" for i in range(width)]
+        wide = reliable_checkpoint(vectors.select(key, TARGET, "split", *[F.col("_v")[i].alias(n) for i, n in enumerate(names)]))
+        own = _side(wide, *train)
+        made = oversample_minority(own, names, TARGET, key)
+        rows = reliable_checkpoint(own.select(*names, TARGET).unionByName(made.select(*names, TARGET)))
+        return many_predictions(boost_many(rows, names, specs, trees=trees), _side(wide, held), key)
+
+    return _both_sides(split, fit_and_score)
+
+
 def recall_optimise(
-    split: DataFrame, features: list[str], weights: list[float], key: str,
-    trainer: Callable[..., Scored] = train_boosted, at_once: int = 4,
+    split: DataFrame, features: list[str], weights: list[float], key: str, trees: int = TREES, resample: bool = True,
 ) -> dict[str, DataFrame]:
     """Tune class weight and threshold on validation rows, then evaluate once on test rows.
 
-    Returns the validation ``grid``, the ``preferred`` threshold of every candidate with its
+    All class weights are boosted in the same passes. With ``resample`` two more candidates learn from rows
+    with an oversampled minority, plain and with the best weight other than 1; they are reported, but never
+    chosen. Returns the validation ``grid``, the ``preferred`` threshold of every candidate with its
     validation measures, the ``test`` measures at it, and the ``chosen`` candidate.
     """
+    spark = split.sparkSession
+    keys = ["model_name", "position", "class_weight"]
 
-    def candidate(position: int, weight: float) -> DataFrame:
-        name = f"weight_{str(weight).replace('.', '_')}"
-        inner = trainer(_side(split, "train"), features, positive_weight=weight)
-        final = trainer(_side(split, "train", "validation"), features, positive_weight=weight)
-        parts = [
-            inner.predictions(_side(split, "validation"), key, name),
-            final.predictions(_side(split, "test"), key, name),
-        ]
-        tags = {"position": F.lit(position), "class_weight": F.lit(float(weight))}
-        return union_frames(parts).withColumns(tags)
+    def tagged(scores: DataFrame, names: list[str], values: list[float], first: int) -> DataFrame:
+        tags = spark.createDataFrame(
+            [(n, first + i, float(w)) for i, (n, w) in enumerate(zip(names, values))], "model_name string, position int, class_weight double"
+        )
+        return scores.join(F.broadcast(tags), "model_name")  # one row a candidate, written above
 
-    parts = fit_many(
-        {str(w): lambda i=i, w=w: candidate(i, w) for i, w in enumerate(weights)}, at_once
-    )
+    def preferred_of(scores: DataFrame) -> tuple[DataFrame, DataFrame]:
+        validation = scores.where("split = 'validation'")
+        grid = threshold_grid(validation, keys)
+        ranks = ranking_metrics(validation, ["model_name"]).select("model_name", F.col("pr_auc").alias("validation_pr_auc"))
+        return grid, select_preferred(grid, ["model_name"]).join(ranks, "model_name")
+
+    names = [f"weight_{str(w).replace('.', '_')}" for w in weights]
+    specs = {n: Spec(float(w)) for n, w in zip(names, weights)}
     # Written once: the grids and areas below read the predictions, not the models.
-    scores = reliable_checkpoint(union_frames(parts))
-    keys = ["model_name", "position", "class_weight"]
-    validation, test = (scores.where(F.col("split") == s) for s in ("validation", "test"))
-    grid = threshold_grid(validation, keys)
-    ranks = ranking_metrics(validation, ["model_name"]).select(
-        "model_name", F.col("pr_auc").alias("validation_pr_auc")
-    )
-    preferred = select_preferred(grid, ["model_name"]).join(ranks, "model_name")
+    scores = reliable_checkpoint(tagged(weighted_scores(split, features, specs, key, trees), names, weights, 0))
+    grid, preferred = preferred_of(scores)
+    pool = reliable_checkpoint(preferred.withColumn("resampled", F.lit(False)))
+    chosen = choose_policy(pool, include_resampled=False).drop("resampled")
+    if resample:
+        heavier = pool.where("class_weight <> 1")
+        best = choose_policy(heavier, include_resampled=False).select("model_name").collect()
+        weight = float(dict(zip(names, weights))[best[0][0]]) if best else 1.0
+        again = {"resampled": Spec(1.0), "resampled_weighted": Spec(weight)}
+        more = tagged(resampled_scores(split, features, again, key, trees), list(again), [1.0, weight], len(names))
+        scores = reliable_checkpoint(union_frames([scores, more]))
+        grid, preferred = preferred_of(scores)
+    test = scores.where("split = 'test'")
     test_grid = threshold_grid(test, keys)
     at_choice = test_grid.join(
         preferred.select("model_name", "threshold", "selection_rule", "fallback_used"),
         ["model_name", "threshold"],
     ).join(ranking_metrics(test, ["model_name"]), "model_name")
-    pool = preferred.withColumn("resampled", F.lit(False))
-    chosen = choose_policy(pool, include_resampled=False).drop("resampled")
     return {"grid": grid, "preferred": preferred, "test": at_choice, "chosen": chosen,
             "scores": scores, "test_grid": test_grid}
 
@@ -357,7 +413,7 @@ def reweigh_compare(
     """Scores of the test rows with and without reweighing: ``model_name, group, y_*``.
 
     With ``thresholds`` a third method, ``group_thresholds``: the baseline's decisions, as scores of 0
-    and 1, at per-group thresholds fitted on the rows it was trained on.
+    and 1, with the equalised odds fitted on the rows it was trained on.
     """
     groups = split.select(key, group)
 
@@ -370,7 +426,7 @@ def reweigh_compare(
             return predictions
         train = model.predictions(_side(split, "train", "validation"), key, "baseline")
         return union_frames(
-            [predictions, group_thresholds(train.join(groups, key), predictions.join(groups, key), group)]
+            [predictions, group_thresholds(train.join(groups, key), predictions.join(groups, key), group, key)]
         )
 
     parts = fit_many(
@@ -382,19 +438,17 @@ def reweigh_compare(
     return union_frames(parts).join(groups, key)
 
 
-def group_thresholds(train: DataFrame, test: DataFrame, group: str) -> DataFrame:
-    """Test predictions as scores of 0 and 1, cut at the thresholds fitted on the train predictions.
+def group_thresholds(train: DataFrame, test: DataFrame, group: str, key: str) -> DataFrame:
+    """Test predictions as scores of 0 and 1: the randomised decisions that equalise the train rows' error rates.
 
-    Rows without a group are a group of their own; a group that train lacks is cut at 0.50.
+    Rows without a group are a group of their own; a group without both classes in train is cut at 0.50.
     """
     own = F.coalesce(F.col(group).cast("string"), F.lit("none"))
-    chosen = threshold_optimizer(train.withColumn("_group", own), "_group")
-    lookup = small_lookup(chosen, ["_group"], "threshold")
-    placed = looked_up(test.withColumn("_group", own), "_cut", lookup, ["_group"])
-    flagged = F.col("y_proba") >= F.coalesce("_cut", F.lit(0.50))
-    return placed.withColumns(
-        {"y_proba": flagged.cast("double"), "model_name": F.lit("group_thresholds")}
-    ).drop(group, "_group", "_cut")
+    plan = equalised_odds(train.withColumn("_group", own), "_group")
+    decided = mixed_decision(test.withColumn("_group", own), plan, "_group", key)
+    return decided.withColumns(
+        {"y_proba": F.col("flagged").cast("double"), "model_name": F.lit("group_thresholds")}
+    ).drop(group, "_group", "flag_probability", "flagged")
 
 
 def tradeoff_table(scored: DataFrame, group: str = "SEX", threshold: float = 0.50) -> DataFrame:

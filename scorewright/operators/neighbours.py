@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from ..functions.labels import group_label, sex_code, sex_group
 from ..functions.scalar import hash_order
 from ..session import reliable_checkpoint
-from .ordering import by_hash_prefix, rank_cutoff
+from .ordering import by_hash_prefix, looked_up, rank_cutoff
 
 MAX_PIVOTS = 1024
 BLOCK = 2048
@@ -268,8 +268,8 @@ def oversample_minority(
     units = minority.select(hash_order("id", seed=seed).alias("_order"))
     rest = sizes.select((F.col("missing") % F.col("ones")).alias("take"))
     cutoff = rank_cutoff(units, "_order", rest, [], by_hash_prefix(units, "_order"))
-    planned = near.withColumns({"_n": sizes.select(F.struct("*")).scalar(), "_cut": cutoff})
-    one_more = hash_order("id", seed=seed) <= F.try_element_at("_cut", F.lit(""))
+    planned = looked_up(near.withColumn("_n", sizes.select(F.struct("*")).scalar()), "_cut", cutoff, [])
+    one_more = F.coalesce(hash_order("id", seed=seed) <= F.col("_cut"), F.lit(False))
     copies = F.floor(F.col("_n.missing") / F.col("_n.ones")) + F.when(one_more, 1).otherwise(0)
 
     def uniform(copy: Column, salt: str) -> Column:

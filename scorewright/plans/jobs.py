@@ -200,18 +200,11 @@ def recall_optimise(spark, sf):
     """Class weight and threshold tuned on validation rows, every candidate tested once."""
     table = split_table(spark, sf)
     rows = class_weights(table.where("split = 'train'")).orderBy("position").collect()
-    out = M.recall_optimise(
-        table, PUBLIC_FEATURES, [row["weight"] for row in rows], KEY, _weighted_logistic
-    )
+    out = M.recall_optimise(table, PUBLIC_FEATURES, [row["weight"] for row in rows], KEY)
     chosen = out["chosen"].select("model_name").withColumn("is_chosen", F.lit(True))
     return out["test"].join(chosen, "model_name", "left").na.fill({"is_chosen": False})
 
 
-def _weighted_logistic(df, features, positive_weight):
-    table = M.with_class_weight(df, positive_weight)
-    return M.train_logistic(table, features, weight="weight", iterations=200)
-
-
 @query("reweigh_train")
 def reweigh_train(spark, sf):
     return M.reweigh_compare(split_table(spark, sf), PUBLIC_FEATURES, KEY)
@@ -494,16 +487,11 @@ def median_relation(spark, sf):
 
 @query("attribution_tree")
 def attribution_tree(spark, sf):
-    """Sampled Shapley values of a boosted model, compared between the sexes."""
+    """Tree Shapley values of a boosted model for every test row, compared between the sexes."""
     table = split_table(spark, sf)
     model = M.train_boosted(table.where("split <> 'test'"), PUBLIC_FEATURES)
-    test = G.with_sex_group(M._as_double(table.where("split = 'test'"), PUBLIC_FEATURES))
-    sample = P.stratified_sample(test, "sex_code", 200, KEY)
-    scaled = M.PipelineModel(model.pipeline.stages[:-1]).transform(sample)
-    long = E.attribution_tree(
-        scaled, model.pipeline.stages[-1], PUBLIC_FEATURES, KEY, 200, keep=G.GROUP
-    )
-    return E.group_attribution(long, G.GROUP)
+    test = G.with_sex_group(table.where("split = 'test'"))
+    return E.group_attribution(E.attribution_tree(test, model, KEY, keep=G.GROUP), G.GROUP)
 
 
 @query("permutation_importance")

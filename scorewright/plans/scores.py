@@ -705,6 +705,37 @@ def ratios(spark, sf):
 
 @query(
     "threshold_optimizer",
+    q(
+        f"""select SEX, i / 1000.0 as fpr, {r('y')} as tpr, {r('own')} as own_tpr, t as high_threshold,
+              case when share > 0 then t1 else t end as low_threshold, {r('share')} as low_share,
+              {r('case when own > y then (own - y) / (own - i / 1000.0) else 0 end')} as ignored, {r('accuracy')} as accuracy
+            from (select own.*, best.y, best.accuracy from own join best using (i))""",
+        """levels as (select SEX, y_proba as t, count(*) filter (where y_true = 1) as pos, count(*) filter (where y_true = 0) as neg
+            from scored where SEX is not null and y_proba is not null and y_true in (0, 1) group by SEX, y_proba)""",
+        """points as (select SEX, t, sum(pos) over down as tp, sum(neg) over down as fp, sum(pos) over (partition by SEX) as p,
+              sum(neg) over (partition by SEX) as n from levels window down as (partition by SEX order by t desc))""",
+        """tops as (select SEX, fp, max(tp) as tp, min(t) as t, any_value(p) as p, any_value(n) as n from points where p > 0 and n > 0
+              group by SEX, fp union all select SEX, 0, 0, null, max(p), max(n) from points group by SEX
+              having max(p) > 0 and max(n) > 0 and min(fp) > 0)""",
+        """hull as (select * from tops b where not exists (select 1 from tops a, tops c where a.SEX = b.SEX and c.SEX = b.SEX
+              and a.fp < b.fp and b.fp < c.fp and (b.tp - a.tp) * (c.fp - a.fp) < (c.tp - a.tp) * (b.fp - a.fp)))""",
+        """edges as (select *, lead(fp) over s as fp1, lead(tp) over s as tp1, lead(t) over s as t1 from hull
+              window s as (partition by SEX order by fp))""",
+        """own as (select *, (tp + share * coalesce(tp1 - tp, 0)) / p as own from (
+              select *, case when i * n = 1000 * fp then 0.0::double else (i * n - 1000 * fp) / (1000.0::double * (fp1 - fp)) end as share
+              from edges, range(1001) g(i) where i * n >= 1000 * fp and (fp1 is null or i * n < 1000 * fp1)))""",
+        """best as (select * from (select i, min(own) as y,
+              (sum(p) * min(own) + sum(n) * (1 - i / 1000.0)) / (sum(p) + sum(n)) as accuracy from own group by i)
+              order by round(accuracy, 9) desc, i limit 1)""",
+    ),
+)
+def threshold_optimizer(spark, sf):
+    """Randomised rules that give both sexes the same error rates."""
+    return rounded(W.equalised_odds(V.scored(spark, sf)))
+
+
+@query(
+    "matched_thresholds",
     q(
         f"""select c.SEX, c.threshold, {r('c.tpr')} as tpr, {r('c.fpr')} as fpr,
               {r('b.odds_gap')} as odds_gap, c.tp, c.fp, c.tn, c.fn
@@ -725,6 +756,6 @@ def ratios(spark, sf):
            where place = 1)""",
     ),
 )
-def threshold_optimizer(spark, sf):
-    return rounded(W.threshold_optimizer(V.scored(spark, sf)))
+def matched_thresholds(spark, sf):
+    return rounded(W.matched_thresholds(V.scored(spark, sf)))
 
