@@ -189,7 +189,7 @@ def equalised_odds(
     edge = Window.partitionBy(group).orderBy("fp")
     ends = hulls.withColumns({f"{c}_1": F.lead(c).over(edge) for c in ("fp", "tp", "threshold")})
     # steps i with fp <= i * negatives / steps < fp_1
-    ceil_div = lambda value: F.expr(f"cast(-((-({value})) div negatives) as bigint)")
+    ceil_div = lambda value: F.expr(f"({value} + negatives - 1) div negatives")
     first = ceil_div(f"{steps} * fp")
     last = F.when(F.col("fp_1").isNull(), F.lit(steps)).otherwise(ceil_div(f"{steps} * fp_1") - 1)
     grid = ends.withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
