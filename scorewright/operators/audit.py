@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import COVERAGE_BLOCKS, TARGET
-from .ordering import by_feature, exact_quantiles, long_values
+from ..session import reliable_checkpoint
+from .ordering import by_feature, exact_quantiles, long_values, running_counts
 
 
 def coverage_audit(df: DataFrame, blocks: dict[str, list[str]] | None = None) -> DataFrame:
@@ -154,14 +155,14 @@ def _binned_information(counts: DataFrame, keys: list[str], code: str, label: st
     return parts.groupBy(*keys).agg(total.alias("mutual_information"))
 
 
-def mutual_info_target(
+def binned_information(
     df: DataFrame,
     features: list[str],
     target: str = TARGET,
     text: list[str] | None = None,
     bins: int = MI_BINS,
 ) -> DataFrame:
-    """Mutual information of every feature with a class column.
+    """Mutual information of every feature with a class column, from bins.
 
     Numbers (missing ones as the median) are cut at their deciles; text values are classes of
     their own, with ``Missing`` for none. This is the plug-in estimate on bins, which differs
@@ -194,6 +195,101 @@ def mutual_info_target(
     return _binned_information(counts, ["feature"], "code", target)
 
 
+#: Neighbours of a row within its class whose distance is the row's radius.
+NEIGHBOURS = 3
+
+
+def digamma(n: Column) -> Column:
+    """The digamma function of whole numbers from 1 on, by its series 8 steps further up."""
+    z = n.cast("double") + 8
+    series = F.log(z) - 1 / (2 * z) - 1 / (12 * z**2) + 1 / (120 * z**4) - 1 / (252 * z**6)
+    return series - sum(1 / (n.cast("double") + i) for i in range(8))
+
+
+def _radii(counts: DataFrame, target: str, k: int) -> DataFrame:
+    """Per ``feature, target, value`` the open interval (``low``, ``high``) up to the k-th neighbour in the class.
+
+    Distinct values of a class are numbered in order; each looks up the ``k`` next to it on both sides by
+    number. Where a value has more than k rows the radius is 0 and ``low`` and ``high`` are null. Classes of
+    one row have no neighbours and are left out.
+    """
+    keys = ["feature", target]
+    numbered = running_counts(counts.withColumn("one", F.lit(1)), keys, "value", ["one", "n"]).where("n_total > 1")
+    numbered = numbered.select(
+        *keys, "value", "n", "n_total", F.col("one_before").alias("at"), F.least(F.lit(k), F.col("n_total") - 1).alias("k")
+    )
+    numbered = reliable_checkpoint(numbered)
+    asked = numbered.where("n <= k").withColumn("_step", F.explode(F.array(*[F.lit(s) for s in range(-k, k + 1) if s])))
+    asked = asked.withColumn("_at", F.col("at") + F.col("_step"))
+    givers = numbered.select(*keys, F.col("at").alias("_at"), F.col("value").alias("_value"), F.col("n").alias("_n"))
+    near = asked.join(givers, [*keys, "_at"]).withColumn("_gap", F.abs(F.col("_value") - F.col("value")))
+    cells = F.array_sort(F.collect_list(F.struct("_gap", "_value", "_n")))
+    found = near.groupBy(*keys, "value").agg(
+        F.first("n").alias("n"), F.first("n_total").alias("n_total"), F.first("k").alias("k"), cells.alias("_near")
+    )
+    # the gap at which the rows counted so far, without the row itself, reach k
+    reached = F.expr(
+        "aggregate(_near, struct(n - 1 as seen, cast(null as double) as gap),"
+        " (s, c) -> struct(s.seen + c._n as seen, if(s.gap is null and s.seen + c._n >= k, c._gap, s.gap) as gap)).gap"
+    )
+    found = found.withColumn("_gap", reached)
+    left = F.expr("get(filter(_near, c -> c._gap = _gap and c._value < value), 0)._value")
+    right = F.expr("get(filter(_near, c -> c._gap = _gap and c._value > value), 0)._value")
+    open_ = found.select(
+        *keys, "value", "n", "n_total", "k",
+        F.coalesce(left, F.col("value") - F.col("_gap")).alias("low"),
+        F.coalesce(right, F.col("value") + F.col("_gap")).alias("high"),
+    )
+    shut = numbered.where("n > k").select(
+        *keys, "value", "n", "n_total", "k", *[F.lit(None).cast("double").alias(c) for c in ("low", "high")]
+    )
+    return open_.unionByName(shut)
+
+
+def mutual_info_target(
+    df: DataFrame, features: list[str], target: str = TARGET, text: list[str] | None = None, k: int = NEIGHBOURS
+) -> DataFrame:
+    """Mutual information of every feature with a class column, by nearest neighbours.
+
+    A row's radius is the distance to its k-th neighbour among the rows of its class; all rows nearer than
+    that are counted (with a radius of 0 those of equal value). Missing numbers are the median; equal values
+    stay equal, without added noise. Rows of a class with one row, and without a class, count nowhere. Text
+    values are classes of their own, with ``Missing`` for none, and give the plug-in estimate.
+
+    Equal rows are counted once. Numbers of rows below a point are running counts over ranges of the distinct
+    values and asked points, so no task sees a whole feature.
+    """
+    middle = by_feature(exact_quantiles(df, features, [0.5]), features, "quantiles[0]")
+    wide = df.where(F.col(target).isNotNull()).select(target, *features).withColumn("_middle", middle)
+    cells = ", ".join(f"struct('{n}' as feature, coalesce(cast(`{n}` as double), _middle.`{n}`, 0D) as value)" for n in features)
+    tall = wide.select(target, F.expr(f"inline(array({cells}))"))
+    counts = reliable_checkpoint(tall.groupBy("feature", target, "value").agg(F.count("*").alias("n")))
+    rows = reliable_checkpoint(_radii(counts, target, k))
+    own = rows.groupBy("feature", "value").agg(F.sum("n").alias("n"))  # of classes with neighbours
+    points = rows.select("feature", F.explode(F.array("low", "high")).alias("value")).where("value is not null")
+    points = own.unionByName(points.withColumn("n", F.lit(0).cast("long")))
+    ranked = running_counts(points.groupBy("feature", "value").agg(F.sum("n").alias("n")), ["feature"], "value", ["n"])
+    ranked = reliable_checkpoint(ranked.select("feature", "value", "n", F.col("n_before").alias("below")))
+    of = lambda column, *names: ranked.select("feature", F.col("value").alias(column), *names)
+    inside = (
+        rows.join(of("low", (F.col("below") + F.col("n")).alias("_up_to")), ["feature", "low"], "left")
+        .join(of("high", F.col("below").alias("_below")), ["feature", "high"], "left")
+        .join(of("value", F.col("n").alias("_equal")), ["feature", "value"])
+    )
+    m = F.coalesce(F.col("_below") - F.col("_up_to"), F.col("_equal"))
+    part = F.col("n") * (digamma(F.col("k")) - digamma(F.col("n_total")) - digamma(m))
+    total = inside.groupBy("feature").agg(F.sum("n").alias("n"), F.sum(part).alias("part"))
+    score = F.greatest(F.lit(0.0), digamma(F.col("n")) + F.col("part") / F.col("n"))
+    found = total.select("feature", score.alias("mutual_information"))
+    if text:
+        cells = F.array(
+            *[F.struct(F.lit(n).alias("feature"), F.coalesce(F.col(n).cast("string"), F.lit("Missing")).alias("code")) for n in text]
+        )
+        coded = df.select(target, F.inline(cells)).groupBy("feature", "code", target).agg(F.count("*").alias("n"))
+        found = found.unionByName(_binned_information(coded, ["feature"], "code", target))
+    return found
+
+
 def mi_review_flag(scores: DataFrame, share: float = 0.95) -> DataFrame:
     """Features whose mutual information reaches the given quantile of all features'."""
     cut = scores.agg(F.percentile("mutual_information", share)).scalar()
@@ -250,7 +346,7 @@ def feature_group_assoc(
         ),
     )
     by_side = _side_medians(tagged, features)
-    information = mutual_info_target(tagged, features, "in_b", bins=bins)
+    information = binned_information(tagged, features, "in_b", bins=bins)
     pooled = F.sqrt((F.coalesce("_var_a", F.lit(0.0)) + F.coalesce("_var_b", F.lit(0.0))) / 2)
     gap = F.col("group_b_mean") - F.col("group_a_mean")
     smd = F.when(pooled > 0, gap / pooled).otherwise(0.0)

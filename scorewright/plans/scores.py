@@ -530,22 +530,70 @@ def information_sql(source: str, features: list[str], target: str, name: str) ->
       window f as (partition by feature)) group by feature)"""
 
 
+def _digamma_sql(n: str) -> str:
+    z = f"(({n})::double + 8)"
+    steps = " - ".join(f"1 / (({n})::double + {i})" for i in range(8))
+    return f"(ln({z}) - 1 / (2 * {z}) - 1 / (12 * {z}**2) + 1 / (120 * {z}**4) - 1 / (252 * {z}**6) - {steps})"
+
+
+_LAGS = [s for s in range(-A.NEIGHBOURS, A.NEIGHBOURS + 1) if s]
+
+
+def _side(s: int, column: str) -> str:
+    return f"{'lag' if s < 0 else 'lead'}({column}, {abs(s)}) over d"
+
+
+#: Mutual information with the k-th neighbour of the class, each interval counted directly.
+NEIGHBOUR_CTES = [
+    f"""tall as (select t.feature, t.{TARGET} as y, coalesce(t.value, e.middle, 0) as value
+        from {unpivot_sql('features', DIAGNOSTIC_FEATURES, [TARGET])} t join (
+          select feature, quantile_cont(value, 0.5) as middle from {unpivot_sql('features', DIAGNOSTIC_FEATURES, [])}
+          group by feature) e using (feature) where t.{TARGET} is not null)""",
+    """levels as (select feature, y, value, count(*) as n, sum(count(*)) over (partition by feature, y) as class_n
+        from tall group by feature, y, value)""",
+    f"""lists as (select *, least({A.NEIGHBOURS}, class_n - 1) as k, list_sort(list_filter([
+          {', '.join(f"{{'gap': abs({_side(s, 'value')} - value), 'value': {_side(s, 'value')}, 'n': {_side(s, 'n')}}}" for s in _LAGS)}],
+          lambda c: c.value is not null)) as near
+        from levels where class_n > 1 window d as (partition by feature, y order by value))""",
+    """gaps as (select *, case when n <= k then list_filter(near, lambda c, i:
+          n - 1 + list_sum(list_transform(near[1:i], lambda x: x.n)) >= k)[1].gap end as gap from lists)""",
+    """bounds as (select *, coalesce(list_filter(near, lambda c: c.gap = gaps.gap and c.value < gaps.value)[1].value, value - gap) as low,
+          coalesce(list_filter(near, lambda c: c.gap = gaps.gap and c.value > gaps.value)[1].value, value + gap) as high from gaps)""",
+    """merged as (select feature, value, sum(n) as n from lists group by feature, value)""",
+    """counted as (select b.feature, b.y, b.value, any_value(b.n) as n, any_value(b.k) as k, any_value(b.class_n) as class_n, sum(a.n) as m
+        from bounds b join merged a on a.feature = b.feature
+          and (case when b.gap is null then a.value = b.value else a.value > b.low and a.value < b.high end)
+        group by b.feature, b.y, b.value)""",
+    f"""information as (select feature, greatest(0.0, {_digamma_sql('sum(n)')}
+          + sum(n * ({_digamma_sql('k')} - {_digamma_sql('class_n')} - {_digamma_sql('m')})) / sum(n)) as mutual_information
+        from counted group by feature)""",
+]
+
+
 @query(
     "mutual_info_target",
-    q(f"""select feature, {r('mutual_information')} as mutual_information
-          from {information_sql('features', DIAGNOSTIC_FEATURES, TARGET, 'mutual_information')}"""),
+    q(f"select feature, {r('mutual_information')} as mutual_information from information", *NEIGHBOUR_CTES),
 )
 def mutual_info_target(spark, sf):
+    """Nearest-neighbour mutual information of every feature with the target."""
     return rounded(A.mutual_info_target(V.features(spark, sf), DIAGNOSTIC_FEATURES))
 
 
+@query(
+    "binned_information",
+    q(f"""select feature, {r('mutual_information')} as mutual_information
+          from {information_sql('features', DIAGNOSTIC_FEATURES, TARGET, 'mutual_information')}"""),
+)
+def binned_information(spark, sf):
+    return rounded(A.binned_information(V.features(spark, sf), DIAGNOSTIC_FEATURES))
+
+
 @query(
     "mi_review_flag",
     q(f"""select feature, {r('mutual_information')} as mutual_information,
             {r('review_threshold')} as review_threshold
-          from (select *, quantile_cont(mutual_information, 0.95) over () as review_threshold
-                from {information_sql('features', DIAGNOSTIC_FEATURES, TARGET, 'mutual_information')})
-          where mutual_information >= review_threshold"""),
+          from (select *, quantile_cont(mutual_information, 0.95) over () as review_threshold from information)
+          where mutual_information >= review_threshold""", *NEIGHBOUR_CTES),
 )
 def mi_review_flag(spark, sf):
     scores = A.mutual_info_target(V.features(spark, sf), DIAGNOSTIC_FEATURES)
