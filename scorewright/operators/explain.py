@@ -6,7 +6,7 @@ them into text needs no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,6 +20,7 @@ from ..functions.scalar import as_col
 from ..schema import BILL_RATIOS, BILLS, DELAY_FEATURES, PAY_STATUS, PAYMENTS, SENSITIVE
 from .audit import column_medians
 from .boosting import Boosted, Tree
+from .ordering import exact_quantiles
 from .scenario import Scorecard
 from .splits import sample_n
 
@@ -193,15 +194,6 @@ def group_attribution(long: DataFrame, groups: list[str]) -> DataFrame:
     return rows.withColumn("mean_abs_difference", second - first)
 
 
-def _noise(salt: str) -> Column:
-    """Standard normal number fixed by the row's keys and a salt."""
-    def uniform(part: str) -> Column:
-        bits = F.pmod(F.xxhash64("_row", "_draw", "_at", F.lit(f"{salt}{part}")), F.lit(1 << 40))
-        return (bits + 0.5) / F.lit(float(1 << 40))
-
-    return F.sqrt(-2 * F.log(uniform("a"))) * F.cos(2 * np.pi * uniform("b"))
-
-
 class Path:
     """The way to one leaf: per feature on it, the tests it takes and the share of the training rows that go
     the same way wherever the feature is unknown."""
@@ -314,53 +306,96 @@ def attribution_tree(df: DataFrame, model: Boosted, key: str, keep: list[str] |
     return made.select(*kept, F.col("_cell.feature").alias("feature"), F.col("_cell.value").alias("value"))
 
 
+#: Quantiles of a feature between which draws are made, a multiple of the four quartiles.
+DRAW_LEVELS = 64
+
+
+def quantile_table(train: DataFrame, names: list[str], levels: int = DRAW_LEVELS) -> np.ndarray:
+    """[feature, level]: exact quantiles of every feature from its least to its largest value, 0 where it has none."""
+    found = exact_quantiles(train, names, [k / levels for k in range(levels + 1)]).collect()
+    by_name = {r["feature"]: r["quantiles"] for r in found}
+    return np.array([by_name.get(n, [0.0] * (levels + 1)) for n in names], float)
+
+
+def quartile_codes(x: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """0 to 3 by the quartiles that lie below a value; a value equal to one is still below it."""
+    levels = table.shape[1] - 1
+    cuts = table[:, [levels // 4, levels // 2, 3 * levels // 4]]
+    return (x[..., None] > cuts).sum(axis=-1)
+
+
+def drawn_rows(row_key: int, x: np.ndarray, table: np.ndarray, samples: int, seed: int) -> np.ndarray:
+    """The row itself, then rows whose features are drawn one by one from their train distribution."""
+    rng = np.random.Generator(np.random.Philox(key=[seed, row_key & ((1 << 64) - 1)]))
+    at = rng.random((samples - 1, len(x))) * (table.shape[1] - 1)
+    low = at.astype(int)
+    feature = np.arange(len(x))
+    values = table[feature, low] + (table[feature, low + 1] - table[feature, low]) * (at - low)
+    return np.vstack([x, values])
+
+
+def surrogate(same: np.ndarray, scores: np.ndarray, terms: int) -> tuple[list[int], np.ndarray]:
+    """Features of a weighted ridge fit in the order a forward path takes them, and their slopes.
+
+    ``same`` is 1 where a draw's feature has the quartile of the row (the first one); a draw weighs by how
+    many it shares. Each step takes the feature that explains most, the first of equals; all slopes come
+    from the last fit."""
+    width = same.shape[1]
+    gap = np.sqrt((1 - same).sum(axis=1))
+    weight = np.exp(-(gap**2) / (0.75 * np.sqrt(width)) ** 2)
+    weight /= weight.sum()
+    x = same - weight @ same
+    y = scores - weight @ scores
+    gram, moment = x.T @ (x * weight[:, None]), x.T @ (weight * y)
+    penalty = 1.0 / len(scores)
+    chosen: list[int] = []
+
+    def fit(some: list[int]) -> tuple[float, np.ndarray]:
+        own = gram[np.ix_(some, some)]
+        slopes = np.linalg.solve(own + penalty * np.eye(len(some)), moment[some])
+        return round(float(2 * slopes @ moment[some] - slopes @ own @ slopes), 12), slopes
+
+    while len(chosen) < min(terms, width):
+        tries = [(-fit([*chosen, k])[0], k) for k in range(width) if k not in chosen]
+        chosen.append(min(tries)[1])
+    return chosen, fit(chosen)[1]
+
+
 def local_surrogate(
-    scaled: DataFrame, scorer, names: list[str], key: str, samples: int = 500, terms: int = SURROGATE_TERMS
+    rows: DataFrame, train: DataFrame, score: Callable[[np.ndarray], np.ndarray], names: list[str], key: str,
+    samples: int = 500, terms: int = SURROGATE_TERMS, seed: int = 42,
 ) -> DataFrame:
-    """A weighted linear model around every given row: its strongest ``terms`` slopes.
+    """A weighted linear model on quartile-coded features around every given row: ``key, feature, low, high, weight, place``.
 
-    Each row is perturbed with normal noise (fixed by hashes), the perturbed rows are scored, and
-    a ridge fit weighted by closeness is solved per row. A row's group has ``samples`` records.
+    The draws, their codes, scores and the fit of a row are made within its Arrow batch; nothing is shuffled.
+    ``score`` maps a matrix of the features to probabilities. A slope says what it changes that a feature
+    lies in the row's quartile, from ``low`` (null for the first) to ``high`` (null for the last). ``train`` gives
+    the quartiles and the draws; missing values of a row are the train median. Keys are whole numbers.
     """
-    width = len(names)
-    draws = scaled.select(F.col(key).alias("_row"), F.array(*names).alias("_x")).withColumn(
-        "_draw", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))
-    )
-    moved = draws.select(
-        "_row", "_draw", F.posexplode("_x").alias("_at", "_value")
-    ).withColumn(
-        "_value", F.col("_value") + F.when(F.col("_draw") == 0, 0.0).otherwise(_noise("lime"))
-    )
-    rows = moved.groupBy("_row", "_draw").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_at", "_value"))), lambda v: v["_value"]
-        ).alias("_x")
-    )
-    wide = rows.select("_row", "_draw", *[F.col("_x")[i].alias(n) for i, n in enumerate(names)])
-    scored = scorer(wide).select("_row", "_draw", F.array(*names).alias("_x"), "probability")
-    kernel = (0.75 * np.sqrt(width)) ** 2
-
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_draw")
-        x = np.asarray(group["_x"].tolist(), dtype=float)
-        gap = x - x[0]
-        weight = np.exp(-(gap**2).sum(axis=1) / kernel)
-        design = np.column_stack([np.ones(len(gap)), gap])
-        penalty = np.diag([0.0] + [1.0] * width)
-        left = design.T @ (design * weight[:, None]) + penalty
-        slopes = np.linalg.solve(left, design.T @ (weight * group["probability"].to_numpy()))[1:]
-        top = np.argsort(-np.abs(slopes), kind="stable")[:terms]
-        return pd.DataFrame(
-            {
-                key: group["_row"].iloc[0],
-                "feature": [names[i] for i in top],
-                "weight": slopes[top],
-                "place": np.arange(1, len(top) + 1),
-            }
-        )
+    table = quantile_table(train, names)
+    middle = table[:, (table.shape[1] - 1) // 2]
+    levels = table.shape[1] - 1
+    edges = [None, levels // 4, levels // 2, 3 * levels // 4, None]
 
-    schema = f"{key} bigint, feature string, weight double, place int"
-    return scored.groupBy("_row").applyInPandas(fit, schema)
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            values = np.column_stack([batch.column(f"x{k}").to_numpy(zero_copy_only=False).astype(float) for k in range(len(names))])
+            values = np.where(np.isnan(values), middle, values)
+            for row_key, x in zip(batch.column(key).to_pylist(), values, strict=True):
+                draws = drawn_rows(row_key or 0, x, table, samples, seed)
+                codes = quartile_codes(draws, table)
+                chosen, slopes = surrogate((codes == codes[0]).astype(float), score(draws), terms)
+                for place, (k, slope) in enumerate(zip(chosen, slopes), 1):
+                    low, high = (None if e is None else float(table[k, e]) for e in edges[codes[0, k] : codes[0, k] + 2])
+                    out.append((row_key, names[k], low, high, float(slope), place))
+            kinds = [batch.schema.field(key).type, pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.int32()]
+            columns = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [key, "feature", "low", "high", "weight", "place"])
+
+    wide = rows.select(key, *[F.col(n).cast("double").alias(f"x{k}") for k, n in enumerate(names)])
+    kind = wide.schema[key].dataType.simpleString()
+    return wide.mapInArrow(explain, f"`{key}` {kind}, feature string, low double, high double, weight double, place int")
 
 
 def counterfactual(

@@ -26,6 +26,7 @@ from ..schema import (
     SENSITIVE,
     TARGET,
 )
+from ..session import reliable_checkpoint
 from . import views as V
 from .choices import PUBLIC_BASE
 from .registry import query, rounded
@@ -125,21 +126,17 @@ _trained("forest_proxy", M.train_forest)
 
 @query("train_mlp")
 def train_mlp(spark, sf):
-    """The network plain and with repeated positives; both score the validation and test rows."""
+    """The network plain and with balanced classes; both score the validation and test rows."""
     table = split_table(spark, sf)
-    inner = table.where("split = 'train'")
-    ratio = inner.agg(
-        F.greatest(F.lit(1.0), F.round(F.count_if(F.col(TARGET) == 0) / F.count_if(F.col(TARGET) == 1)))
-    ).first()[0]
-    runs = {"mlp_baseline": 1, "mlp_class_weighted": int(ratio)}
+    inner, validation = table.where("split = 'train'"), table.where("split = 'validation'")
     held = table.where("split <> 'train'")
     return M.union_frames(
         M.fit_many(
             {
-                n: lambda n=n, c=c: M.train_mlp(inner, PUBLIC_FEATURES, copies=c).predictions(
-                    held, KEY, n
-                )
-                for n, c in runs.items()
+                n: lambda n=n, b=b: M.train_mlp(
+                    inner, PUBLIC_FEATURES, validation=validation, balanced=b
+                ).predictions(held, KEY, n)
+                for n, b in {"mlp_baseline": False, "mlp_class_weighted": True}.items()
             }
         )
     )
@@ -503,12 +500,12 @@ def permutation_importance(spark, sf):
 
 @query("local_surrogate")
 def local_surrogate(spark, sf):
-    """A weighted linear fit around a few test rows of a logistic model on scaled features."""
+    """A weighted linear fit on quartiles around every test row of a logistic model on scaled features."""
     table = split_table(spark, sf)
-    scaled = A.impute_scale(table, _FILLED, [KEY, "split", TARGET])
-    model = M.train_logistic(scaled.where("split <> 'test'"), _FILLED)
-    rows = P.sample_n(scaled.where("split = 'test'"), 20, KEY)
-    return E.local_surrogate(rows, model, _FILLED, KEY)
+    scaled = reliable_checkpoint(A.impute_scale(table, _FILLED, [KEY, "split", TARGET]))
+    train = scaled.where("split <> 'test'")
+    model = M.train_logistic(train, _FILLED)
+    return E.local_surrogate(scaled.where("split = 'test'"), train, M.matrix_scorer(model), _FILLED, KEY)
 
 
 @query("counterfactual")
