@@ -10,19 +10,19 @@ from scorewright.llm import suffix_radix
 
 
 def brute(rows, window):
-    """rows: (doc_id, row hash, text)."""
+    """rows: (doc_id, row hash, text); equal rows come one after another."""
     first = {}
-    for doc_id, row, text in rows:
+    for place, (doc_id, row, text) in enumerate(rows):
         b = (text or "").encode()
         for k in range(len(b) - window + 1) if doc_id is not None else ():
             t = b[k : k + window]
-            first[t] = min(first.get(t, (doc_id, row, k)), (doc_id, row, k))
+            first[t] = min(first.get(t, (doc_id, row, place, k)), (doc_id, row, place, k))
     out = []
-    for doc_id, row, text in rows:
+    for place, (doc_id, row, text) in enumerate(rows):
         b = (text or "").encode()
         gone = [False] * len(b)
         for k in range(len(b) - window + 1) if doc_id is not None else ():
-            if first[b[k : k + window]] < (doc_id, row, k):
+            if first[b[k : k + window]] < (doc_id, row, place, k):
                 gone[k : k + window] = [True] * window
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         out.append((doc_id, len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone) if not g)))
@@ -65,7 +65,7 @@ def test_repeated_bytes_are_brute_force(documents, window):
 
 def test_hot_buckets_in_shards_and_small_segments(documents, monkeypatch):
     """Buckets dealt over many shards, sorts of few windows, runs cut by segments, a memory of few sent runs."""
-    for name, value in (("SHARD", 3), ("SORTED", 50), ("SEGMENT", 37), ("SENT", 4)):
+    for name, value in (("SHARD", 3), ("SORTED", 50), ("SEGMENT", 37), ("SENT", 4), ("CHUNK", 700), ("ANCHORS", 64)):
         monkeypatch.setattr(suffix_radix, name, value)
     found, expected = found_and_expected(documents, cases(4), 20)
     assert found == expected
