@@ -398,58 +398,162 @@ def local_surrogate(
     return wide.mapInArrow(explain, f"`{key}` {kind}, feature string, low double, high double, weight double, place int")
 
 
+#: Sizes of the sets of features that are taken from a donor, before all of them.
+TAKEN = (1, 2, 3, 5, 8, 12)
+
+
+class Donors:
+    """Donors of one side: a bounded pool for every profile, and those furthest on their side."""
+
+    def __init__(self, pools: dict[int, np.ndarray], strongest: np.ndarray):
+        self.pools, self.strongest = pools, strongest
+
+    def near(self, x: np.ndarray, profile: int, scale: np.ndarray, wanted: int) -> np.ndarray:
+        """The nearest donors of the row's profile, then the strongest of all."""
+        pool = self.pools.get(profile)
+        if pool is None or not len(pool):
+            return self.strongest
+        gaps = np.nan_to_num(np.abs(pool - x)) / scale
+        order = np.argsort(gaps.sum(axis=1), kind="stable")[:wanted]
+        return np.vstack([pool[order], self.strongest])
+
+
+def profile_code(names: list[str], cuts: dict[str, list[float]]) -> Column:
+    """The quarters that a row's values of a few features lie in, as one number; a missing value is in the first."""
+    code = F.lit(0)
+    for name in names:
+        above = [F.coalesce((F.col(name) > F.lit(float(c))).cast("int"), F.lit(0)) for c in cuts.get(name, [])]
+        code = code * 4 + sum(above, F.lit(0))
+    return code
+
+
+def donor_index(
+    scored: DataFrame, features: list[str], profile: Column, key: str, threshold: float, pool: int, strongest: int
+) -> dict[bool, Donors]:
+    """The donors of each side, flagged or not: at most ``pool`` for a profile, by hash, and ``strongest`` more.
+
+    These bounds are all that reaches the driver; the ranks are cut within the map tasks first."""
+    own = F.array(*[F.col(f).cast("double") for f in features])
+    rows = scored.where(F.col("probability").isNotNull()).select(
+        key, own.alias("x"), (F.col("probability") >= threshold).alias("side"), profile.alias("profile"), "probability"
+    )
+    drawn = F.row_number().over(Window.partitionBy("side", "profile").orderBy(F.xxhash64(key), key))
+    outmost = F.when(F.col("side"), -F.col("probability")).otherwise(F.col("probability"))
+    far = F.row_number().over(Window.partitionBy("side").orderBy(outmost, F.xxhash64(key), key))
+    pools = rows.withColumn("_rank", drawn).where(F.col("_rank") <= pool).orderBy("side", "profile", "_rank").collect()
+    ends = rows.withColumn("_rank", far).where(F.col("_rank") <= strongest).orderBy("side", "_rank").collect()
+    made = {}
+    for side in (False, True):
+        by_profile: dict[int, list] = {}
+        for r in pools:
+            if r["side"] == side:
+                by_profile.setdefault(r["profile"], []).append(r["x"])
+        last = np.array([r["x"] for r in ends if r["side"] == side], float).reshape(-1, len(features))
+        made[side] = Donors({p: np.array(x, float) for p, x in by_profile.items()}, last)
+    return made
+
+
+def partial_copies(x: np.ndarray, donor: np.ndarray, scale: np.ndarray) -> Iterator[tuple[int, float, np.ndarray]]:
+    """Versions of a row with more and more of the donor's values, the widest gaps first: (changed, distance, version)."""
+    new = np.where(np.isnan(donor), x, donor)
+    differs = ~((new == x) | (np.isnan(new) & np.isnan(x)))
+    gap = np.nan_to_num(np.abs(new - x)) / scale
+    order = [k for k in np.argsort(-gap, kind="stable") if differs[k]]
+    for n in sorted({min(n, len(order)) for n in (*TAKEN, len(order))} - {0}):
+        version = x.copy()
+        version[order[:n]] = new[order[:n]]
+        yield n, float(gap[order[:n]].sum()), version
+
+
+def diverse(found: list[tuple], wanted: int) -> list[tuple]:
+    """A few of the versions (donor, changed, distance, probability, values...), fewest changes first, then
+    those that differ in most values from all chosen before. One of each donor, more of one only if needed."""
+    found = sorted(found, key=lambda v: (v[1], v[2], v[0]))
+    leading = list({v[0]: v for v in reversed(found)}.values())[::-1]
+    leading.sort(key=lambda v: (v[1], v[2], v[0]))
+    chosen: list[tuple] = []
+    for candidates in (leading, found):
+        while len(chosen) < wanted:
+            apart = [(min((sum(a != b for a, b in zip(v[4:], c[4:])) for c in chosen), default=1), v) for v in candidates]
+            apart = [(n, v) for n, v in apart if n]
+            if not apart:
+                break
+            chosen.append(min(apart, key=lambda t: (-t[0], t[1][1], t[1][2], t[1][0]))[1])
+    return chosen
+
+
 def counterfactual(
     queries: DataFrame, donors: DataFrame, scorer, features: list[str], spread: dict[str, float],
-    key: str, context: list[str], wanted: int = 3, masks: int = 4, pool: int = 50, threshold: float = 0.50,
+    key: str, context: list[str], wanted: int = 3, pool: int = 64, near: int = 10, strongest: int = 8,
+    profile: list[str] | None = None, threshold: float = 0.50,
 ) -> DataFrame:
-    """For every row, up to three changed versions with the opposite decision.
-
-    Random features of the row take the values of observed rows (a pool of ``pool`` donors drawn
-    by hash, kept as one small array); versions that flip the decision are ranked by how few
-    features changed, then by how far they moved. ``context`` columns are never changed.
+    """For every row, up to ``wanted`` changed versions with the opposite decision: ``key, place, changed_features,
+    distance, probability`` and the changed features.
+
+    Donors are rows of the other side, found by an index of their profiles (quarters of a few features, three
+    by default): the nearest of the row's profile, and those furthest on their side, which can turn whatever
+    else can. A version takes a donor's values for its widest gaps first, as few as turn the decision. Chosen
+    are versions that differ most. ``context`` columns never change. The index is bounded; versions are made,
+    scored and chosen where the row is, without a shuffle. Rows that no donor can turn, or without a
+    score, have no version; missing values of a donor leave the row's own.
     """
-    own = "array(" + ", ".join(f"cast(`{f}` as double)" for f in features) + ")"
-    scale = "array(" + ", ".join(f"{float(spread.get(f) or 1.0)!r}D" for f in features) + ")"
-    drawn = sample_n(donors, pool, key).select(F.expr(own).alias("d"))
-    base = scorer(queries).select(
-        key,
-        *context,
-        F.expr(own).alias("own"),
-        (F.col("probability") >= threshold).alias("_was"),
-    )
-    tall = (
-        base.withColumn("_donors", drawn.agg(F.collect_list("d")).scalar())
-        .select(key, *context, "own", "_was", F.posexplode("_donors").alias("donor", "d"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(masks - 1))).alias("mask"))
-    )
-    taken = f"pmod(xxhash64(`{key}`, donor, mask, i), 1000) < 150 * (mask + 1)"
-    mixed = tall.withColumn(
-        "new", F.expr(f"transform(own, (x, i) -> if({taken}, coalesce(get(d, i), x), x))")
-    )
-    moves = "zip_with(own, new, (a, b) -> coalesce(abs(b - a), 0D))"
-    versions = mixed.select(
-        key,
-        *context,
-        "donor",
-        "mask",
-        "_was",
-        F.expr("size(filter(zip_with(own, new, (a, b) -> a <=> b), same -> not same))").alias(
-            "changed_features"
-        ),
-        F.expr(
-            f"aggregate(zip_with({moves}, {scale}, (gap, unit) -> gap / unit), 0D, (s, x) -> s + x)"
-        ).alias("distance"),
-        *[F.col("new")[i].alias(f) for i, f in enumerate(features)],
-    )
-    # The flip is settled before the ranking, not filtered on: a filter would be pushed down and
-    # repeat the whole score formula. The rank limit keeps a few versions per row and task.
-    decided = scorer(versions).withColumn(
-        "_kept", (F.col("probability") >= threshold) == F.col("_was")
-    )
-    place = F.row_number().over(
-        Window.partitionBy(key).orderBy("_kept", "changed_features", "distance", "donor", "mask")
-    )
-    best = decided.withColumn("place", place).where(F.col("place") <= wanted)
-    return best.where(~F.col("_kept")).select(
-        key, "place", "changed_features", "distance", "probability", *features
+    on = profile or features[:3]
+    cuts = {r["feature"]: r["quantiles"] for r in exact_quantiles(donors, on, [0.25, 0.5, 0.75]).collect()}
+    code = profile_code(on, cuts)
+    index = queries.sparkSession.sparkContext.broadcast(donor_index(scorer(donors), features, code, key, threshold, pool, strongest))
+    scale = np.array([float(spread.get(f) or 1.0) for f in features])
+    inner = ["_row", "_was", "donor", "changed_features", "distance"]
+
+    def versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 0
+        for batch in batches:
+            for k in range(0, batch.num_rows, 200):
+                part = batch.slice(k, 200)
+                x = np.column_stack([part.column(f).to_numpy(zero_copy_only=False).astype(float) for f in features])
+                rows, made = [], []
+                for i, (was, own) in enumerate(zip(part.column("_was").to_pylist(), part.column("_profile").to_pylist())):
+                    number += 1
+                    for d, donor in enumerate(index.value[not was].near(x[i], own, scale, near)):
+                        for changed, distance, version in partial_copies(x[i], donor, scale):
+                            rows.append(i)
+                            made.append((number, was, d, changed, distance, version))
+                values = np.array([m[5] for m in made], float).reshape(-1, len(features))
+                columns = [part.column(c).take(pa.array(rows, pa.int32())) for c in (key, *context)]
+                columns += [pa.array([m[j] for m in made], t) for j, t in enumerate((pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.float64()))]
+                columns += [pa.array(values[:, j], pa.float64(), mask=np.isnan(values[:, j])) for j in range(len(features))]
+                yield pa.RecordBatch.from_arrays(columns, [key, *context, *inner, *features])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, found = None, []
+
+        def chosen() -> list[tuple]:
+            return [(row[1], place, *v[1:]) for place, v in enumerate(diverse(found, wanted), 1)]
+
+        for batch in batches:
+            out = []
+            for number, own, *version in zip(*(batch.column(c).to_pylist() for c in ("_row", key, "donor", "changed_features", "distance", "probability", *features))):
+                if row is None or row[0] != number:
+                    if row:
+                        out += chosen()
+                    row, found = (number, own), []
+                found.append(tuple(version))
+            yield written(out, batch)
+            last = batch
+        if row:
+            yield written(chosen(), last)
+
+    def written(out: list[tuple], batch: pa.RecordBatch) -> pa.RecordBatch:
+        kinds = [batch.schema.field(key).type, pa.int32(), pa.int32(), pa.float64(), pa.float64(), *[pa.float64()] * len(features)]
+        columns = list(zip(*out)) or [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [key, "place", "changed_features", "distance", "probability", *features])
+
+    base = scorer(queries).where(F.col("probability").isNotNull()).select(
+        key, *context, *[F.col(f).cast("double").alias(f) for f in features], (F.col("probability") >= threshold).alias("_was"), code.alias("_profile")
     )
+    same = [base.schema[c] for c in (key, *context)]
+    kinds = [T.LongType(), T.BooleanType(), T.IntegerType(), T.IntegerType(), T.DoubleType(), *[T.DoubleType()] * len(features)]
+    schema = T.StructType([*same, *(T.StructField(n, t) for n, t in zip([*inner, *features], kinds))])
+    scored = scorer(base.mapInArrow(versions, schema)).select(key, *inner, *features, "probability")
+    turned = scored.where((F.col("probability") >= threshold) != F.col("_was"))
+    numbers = ", ".join(f"`{f}` double" for f in features)
+    return turned.mapInArrow(choose, f"`{key}` {base.schema[key].dataType.simpleString()}, place int, changed_features int, distance double, probability double, {numbers}")

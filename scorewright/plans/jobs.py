@@ -516,7 +516,7 @@ def counterfactual(spark, sf):
     spread = {n: 1000.0 if n not in PAY_STATUS else 1.0 for n in names}
     fixed = [n for n in BASE if n not in names]
     return E.counterfactual(
-        table, table, CARD, names, spread, KEY, fixed, pool=20, masks=3, threshold=REVIEW
+        table, table, CARD, names, spread, KEY, fixed, profile=["PAY_0", "LIMIT_BAL", "BILL_AMT1"], threshold=REVIEW
     )
 
 

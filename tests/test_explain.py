@@ -63,3 +63,41 @@ def test_tree_values_are_enumerated_shapley_values(spark, table):
     for r, own in zip(rows, found):
         assert np.allclose([values[r["id"], n] for n in names], [*own[:4], own[4] + own[5]])
     assert E.attribution_tree(table.limit(0), model, "id").count() == 0
+
+
+def test_counterfactuals_turn_every_row_that_can_be_turned(spark):
+    rng = random.Random(9)
+    rows = [(k, rng.gauss(0, 1), float(rng.randint(0, 3)), rng.choice([None, rng.gauss(0, 1)]), rng.choice([-1, 0, 30])) for k in range(90)]
+    table = spark.createDataFrame(rows, "id long, a double, b double, c double, fixed int").repartition(4)
+
+    def margin(a, b, c, fixed):
+        return 2 * a - b + (c or 0) + 0.2 * fixed
+
+    def scorer(df):
+        value = 2 * E.F.col("a") - E.F.col("b") + E.F.coalesce("c", E.F.lit(0.0)) + 0.2 * E.F.col("fixed")
+        return df.withColumn("probability", 1 / (1 + E.F.exp(-value)))
+
+    names, spread = ["a", "b", "c"], {"a": 1.0, "b": 1.0, "c": 2.0}
+    found = E.counterfactual(table, table, scorer, names, spread, "id", ["fixed"], pool=5, near=4, strongest=6)
+    by_id = {}
+    for r in found.collect():
+        by_id.setdefault(r["id"], []).append(r)
+    own = {r[0]: r for r in rows}
+    for k, (_, a, b, c, fixed) in own.items():
+        was = margin(a, b, c, fixed) >= 0
+        others = [r for r in rows if (margin(*r[1:]) >= 0) != was]
+        turning = [r for r in others if (margin(r[1], r[2], c if r[3] is None else r[3], fixed) >= 0) != was]
+        versions = by_id.get(k, [])
+        assert len(versions) == (3 if len(turning) >= 3 else len(versions)) and (not turning or versions), (k, len(turning))
+        assert [v["place"] for v in sorted(versions, key=lambda v: v["place"])] == list(range(1, len(versions) + 1))
+        assert len({(v["a"], v["b"], v["c"]) for v in versions}) == len(versions)
+        for v in versions:
+            new = (v["a"], v["b"], v["c"])
+            assert (margin(*new, fixed) >= 0) != was
+            assert math.isclose(v["probability"], 1 / (1 + math.exp(-margin(*new, fixed))))
+            assert v["changed_features"] == sum(x != y for x, y in zip(new, (a, b, c)))
+            gaps = [abs(x - y) / spread[n] for n, x, y in zip(names, new, (a, b, c)) if x is not None and y is not None]
+            assert math.isclose(v["distance"], sum(gaps), abs_tol=1e-9)
+    assert sum(len(v) for v in by_id.values()) > 100
+    assert E.counterfactual(table.limit(0), table, scorer, names, spread, "id", ["fixed"]).count() == 0
+    assert E.counterfactual(table, table.limit(0), scorer, names, spread, "id", ["fixed"]).count() == 0
