@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.labels import display_name, lookup, raw_feature, risk_band
 from ..functions.scalar import as_col
 from ..schema import BILL_RATIOS, BILLS, DELAY_FEATURES, PAY_STATUS, PAYMENTS, SENSITIVE
+from ..session import reliable_checkpoint
 from .audit import column_medians
 from .boosting import Boosted, Tree
 from .ordering import exact_quantiles
@@ -500,7 +502,9 @@ def counterfactual(
     on = profile or features[:3]
     cuts = {r["feature"]: r["quantiles"] for r in exact_quantiles(donors, on, [0.25, 0.5, 0.75]).collect()}
     code = profile_code(on, cuts)
-    index = queries.sparkSession.sparkContext.broadcast(donor_index(scorer(donors), features, code, key, threshold, pool, strongest))
+    # scored and written once, so that a score's formula is not repeated in every expression on it
+    known = reliable_checkpoint(scorer(donors).select(key, "probability", *dict.fromkeys([*features, *on])))
+    index = queries.sparkSession.sparkContext.broadcast(donor_index(known, features, code, key, threshold, pool, strongest))
     scale = np.array([float(spread.get(f) or 1.0) for f in features])
     inner = ["_row", "_was", "donor", "changed_features", "distance"]
 
@@ -530,7 +534,8 @@ def counterfactual(
             return [(row[1], place, *v[1:]) for place, v in enumerate(diverse(found, wanted), 1)]
 
         for batch in batches:
-            out = []
+            turned = pc.not_equal(pc.greater_equal(batch.column("probability"), threshold), batch.column("_was"))
+            batch, out = batch.filter(turned), []  # a null is no turn
             for number, own, *version in zip(*(batch.column(c).to_pylist() for c in ("_row", key, "donor", "changed_features", "distance", "probability", *features))):
                 if row is None or row[0] != number:
                     if row:
@@ -547,13 +552,13 @@ def counterfactual(
         columns = list(zip(*out)) or [()] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [key, "place", "changed_features", "distance", "probability", *features])
 
-    base = scorer(queries).where(F.col("probability").isNotNull()).select(
+    scored = reliable_checkpoint(scorer(queries).select(key, "probability", *dict.fromkeys([*context, *features, *on])))
+    base = scored.where(F.col("probability").isNotNull()).select(
         key, *context, *[F.col(f).cast("double").alias(f) for f in features], (F.col("probability") >= threshold).alias("_was"), code.alias("_profile")
     )
     same = [base.schema[c] for c in (key, *context)]
     kinds = [T.LongType(), T.BooleanType(), T.IntegerType(), T.IntegerType(), T.DoubleType(), *[T.DoubleType()] * len(features)]
     schema = T.StructType([*same, *(T.StructField(n, t) for n, t in zip([*inner, *features], kinds))])
     scored = scorer(base.mapInArrow(versions, schema)).select(key, *inner, *features, "probability")
-    turned = scored.where((F.col("probability") >= threshold) != F.col("_was"))
     numbers = ", ".join(f"`{f}` double" for f in features)
-    return turned.mapInArrow(choose, f"`{key}` {base.schema[key].dataType.simpleString()}, place int, changed_features int, distance double, probability double, {numbers}")
+    return scored.mapInArrow(choose, f"`{key}` {base.schema[key].dataType.simpleString()}, place int, changed_features int, distance double, probability double, {numbers}")
