@@ -1,8 +1,12 @@
 """Registered queries against their SQL twins on the smallest tables."""
 
+import functools
+
 import pytest
 
 import __spark_entry__ as entry
+from scorewright.operators import models as M
+from scorewright.plans import catalogue
 from tools.compare import compare, connect
 
 # Every family is covered; the full list is run by tools/compare.py.
@@ -36,3 +40,17 @@ def test_catalogue_is_whole(spark):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 4
+
+
+def few_trees(fit, df, features, specs, target="Default_Flag", trees=150, **more):
+    return fit(df, features, specs, target, trees=2, **more)
+
+
+@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.SQL)))
+def test_query_without_sql_runs(name, spark, sf, monkeypatch):
+    """With fewer trees and epochs than the query fits: here it counts that it runs."""
+    fit = M.fit_network
+    monkeypatch.setattr(M, "boost_many", functools.partial(few_trees, M.boost_many))
+    monkeypatch.setattr(M, "fit_network", lambda train, held, balanced, epochs: fit(train, held, balanced, 2))
+    df = catalogue.QUERIES[name](spark, sf)
+    assert df.columns and df.count() > 0
