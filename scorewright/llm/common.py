@@ -128,6 +128,16 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
 
 
+#: Classes in which words end at the six ASCII white spaces only.
+SPACES = byte_classes(b" \t\n\x0b\x0c\r")
+
+
+def text_hashes(texts: pa.Array) -> list[np.ndarray]:
+    """The word hashes of every text of a column, words as `bytes.split` cuts them; null has none."""
+    codes, bounds, values = pieces_of(texts, SPACES)
+    return np.split(word_hashes(values.to_pylist())[codes], bounds[1:-1]) if len(texts) else []
+
+
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """One 64-bit hash for each run of `size` consecutive word hashes."""
     n = len(hashes) - size + 1

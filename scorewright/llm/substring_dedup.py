@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lists, rows_of, signed, stored, window_hashes, word_hashes
+from .common import lists, rows_of, signed, stored, text_hashes, window_hashes, word_hashes
 
 #: Words of the runs whose smallest hash is a window's minimiser.
 RUN = 4
@@ -40,11 +40,15 @@ _SENT = "minimiser long, shard long, string long, string2 long, doc_id long, row
 
 def _super_kmers(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Minimiser, first window and end (exclusive) of each super-k-mer."""
-    n = len(words) - window + 1
+    return _of_hashes(word_hashes(words), window)
+
+
+def _of_hashes(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(hashes) - window + 1
     if n <= 0:
         none = np.empty(0, np.int64)
         return none.astype(np.uint64), none, none
-    runs = window_hashes(word_hashes(words), min(RUN, window))
+    runs = window_hashes(hashes, min(RUN, window))
     width = window - min(RUN, window) + 1
     least = runs[:n].copy()
     for k in range(1, width):
@@ -58,7 +62,7 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
 
     def minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
-            found = [np.unique(_super_kmers(t.split(), window)[0]) for t in batch.column("text").to_pylist()]
+            found = [np.unique(_of_hashes(h, window)[0]) for h in text_hashes(batch.column("text"))]
             sizes = [len(f) for f in found]
             at = np.repeat(np.arange(len(sizes)), sizes)
             flat = signed(np.concatenate(found)) if found else np.empty(0, np.int64)
@@ -84,12 +88,13 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
         sent: dict[bytes, int] = {}
         for batch in rows_of(batches, 200):
             rows = []
-            for doc_id, row, text, asked in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text", "asked")), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "row", "text", "asked"))
+            for doc_id, row, text, asked, hashes in zip(*columns, text_hashes(batch.column("text")), strict=True):
                 words = text.split()
                 shards = {a["minimiser"]: a["shards"] for a in asked}
                 ends = np.cumsum([len(w) + 1 for w in words])
                 joined = b" ".join(words)
-                least, first, end = _super_kmers(words, window)
+                least, first, end = _of_hashes(hashes, window)
                 for m, i, j in zip(signed(least).tolist(), first.tolist(), end.tolist(), strict=True):
                     if m in shards:
                         j += window - 1
