@@ -19,7 +19,8 @@ HEADLINES = [
     "calibration_bins", "profile_lineitem", "feature_target_corr", "mutual_info_target",
     "reweigh", "selection_summary", "split_group_stratified",
     "split_temporal", "overlap_check", "topk_drivers", "scenario_exposure",
-    "sensitivity_flip", "feature_group_assoc", "join_nearest", "train_logistic",
+    "sensitivity_flip", "feature_group_assoc", "join_nearest", "train_logistic", "threshold_optimizer",
+    "train_boosted",
 ]
 
 
