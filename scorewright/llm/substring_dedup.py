@@ -34,6 +34,9 @@ RUN = 4
 SHARD = 20_000
 #: Packed strings that a map task remembers having sent.
 SENT = 50_000
+#: Strings and windows whose verdicts a bucket task holds before it hands them on.
+HELD = 20_000
+_NONE = np.empty(0, np.int64)
 
 _SENT = "minimiser long, shard long, string long, string2 long, doc_id long, row long, start int, n_words int, packed binary"
 
@@ -119,17 +122,18 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One bucket after the other, sorted by (minimiser, shard)."""
-        key, strings = None, {}
+        """One bucket after the other, sorted by (minimiser, shard); many small ones make one batch."""
+        key, strings, out = None, {}, _Verdicts(window)
         for batch in rows_of(batches, 2000):
             for m, shard, packed, doc_id in zip(*(batch.column(c).to_pylist() for c in ("minimiser", "shard", "packed", "doc_id")), strict=True):
                 if (m, shard) != key:
-                    if strings:
-                        yield _counted(key, strings, window)
+                    out.add(key, strings)
+                    if out.size >= HELD:
+                        yield out.taken()
                     key, strings = (m, shard), {}
                 strings[packed] = min(doc_id, strings.get(packed, doc_id))
-        if strings:
-            yield _counted(key, strings, window)
+        out.add(key, strings)
+        yield out.taken()
 
     verdicts = stored(
         occurrences.filter("packed is not null")
@@ -166,8 +170,60 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
     return repeats.union(inner)
 
 
-def _counted(key: tuple, strings: dict[bytes, int], window: int) -> pa.RecordBatch:
-    """The strings of one bucket: where their first document has windows that a smaller id has too."""
+class _Verdicts:
+    """What the buckets say of their strings: where a string's first document has windows that a smaller id has too."""
+
+    def __init__(self, window: int):
+        self.window = window
+        self.clear()
+
+    def clear(self) -> None:
+        self.size = 0
+        self.hashes: list[bytes] = []
+        self.first_ids: list[int] = []
+        self.parts: list[list[np.ndarray]] = [[], [], [], [], []]  # starts, ends, w1, w2, least
+
+    def add(self, key: tuple | None, strings: dict[bytes, int]) -> None:
+        if not strings:
+            return
+        several = key[1] >> 32 > 1
+        if len(strings) == 1 and not several:  # no other string could share a window
+            cuts, least = [[]], {}
+        else:
+            cuts, least = _windows(strings, self.window)
+        for (packed, first_id), windows in zip(strings.items(), cuts, strict=True):
+            self.hashes.append(xxhash.xxh3_128_digest(packed))
+            self.first_ids.append(first_id)
+            self.size += 1 + len(windows)
+            own = [_NONE, _NONE, _NONE, _NONE, _NONE]
+            if windows:
+                low = np.fromiter((least[w] for w in windows), np.int64, len(windows))
+                if several:
+                    h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for w in windows), np.int64).reshape(-1, 2)
+                    own[2:] = h[:, 0], h[:, 1], low
+                else:
+                    at = np.flatnonzero(low < first_id)
+                    if len(at):
+                        cut = np.flatnonzero(np.diff(at) > self.window)  # closer windows touch or overlap
+                        own[0] = at[np.append(0, cut + 1)]
+                        own[1] = at[np.append(cut, len(at) - 1)] + self.window
+            for part, x in zip(self.parts, own):
+                part.append(x)
+
+    def taken(self) -> pa.RecordBatch:
+        string = np.frombuffer(b"".join(self.hashes), np.int64).reshape(-1, 2)
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        columns = [lists([x.astype(np.int32) if k == pa.int32() else x for x in part], k) for part, k in zip(self.parts, kinds)]
+        made = pa.RecordBatch.from_arrays(
+            [pa.array(string[:, 0]), pa.array(string[:, 1]), pa.array(self.first_ids, pa.int64()), *columns],
+            ["string", "string2", "first_id", "starts", "ends", "w1", "w2", "least"],
+        )
+        self.clear()
+        return made
+
+
+def _windows(strings: dict[bytes, int], window: int) -> tuple[list[list[bytes]], dict[bytes, int]]:
+    """The windows of each string of a bucket, and the smallest id of each window."""
     cuts, found = [], []
     for packed, first_id in strings.items():
         words = packed.split(b" ")
@@ -178,28 +234,7 @@ def _counted(key: tuple, strings: dict[bytes, int], window: int) -> pa.RecordBat
     least: dict[bytes, int] = {}
     for w, first_id in sorted(found, reverse=True):  # the smallest id of a window comes last
         least[w] = first_id
-    several = key[1] >> 32 > 1
-    hashes = [xxhash.xxh3_128_digest(p) for p in strings]
-    string = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
-    starts, ends, w1, w2, lows = [], [], [], [], []
-    for windows, first_id in zip(cuts, strings.values(), strict=True):
-        low = np.fromiter((least[w] for w in windows), np.int64, len(windows))
-        if several:
-            h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for w in windows), np.int64).reshape(-1, 2)
-            w1.append(h[:, 0]), w2.append(h[:, 1]), lows.append(low)
-            at = np.empty(0, np.int64)
-        else:
-            for part in (w1, w2, lows):
-                part.append(np.empty(0, np.int64))
-            at = np.flatnonzero(low < first_id)
-        cut = np.flatnonzero(np.diff(at) > window) + 1 if len(at) else at  # closer windows touch or overlap
-        groups = np.split(at, cut) if len(at) else []
-        starts.append(np.array([g[0] for g in groups], np.int32))
-        ends.append(np.array([g[-1] + window for g in groups], np.int32))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(string[:, 0]), pa.array(string[:, 1]), pa.array(list(strings.values()), pa.int64()), lists(starts, pa.int32()), lists(ends, pa.int32()), lists(w1, pa.int64()), lists(w2, pa.int64()), lists(lows, pa.int64())],
-        ["string", "string2", "first_id", "starts", "ends", "w1", "w2", "least"],
-    )
+    return cuts, least
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
