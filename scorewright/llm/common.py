@@ -6,6 +6,9 @@ spaces (0x20, 0x09-0x0D) and `bytes.lower` changes exactly A-Z, which is what th
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import os
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame
 from ..session import shared_folder
 
 #: Bytes that a worker's memo holds before it starts anew, and the longest key that it keeps.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 64 << 20
 LONGEST_KEY = 64
 #: Bytes of text that an operator takes apart at once.
 CHUNK_BYTES = 4 << 20
@@ -32,26 +35,40 @@ def worker_cache(owner: str, name: str, make: Callable[[], object]) -> object:
     from job to job, and what the operator before had kept goes when another one asks."""
     if _owner != [owner]:
         _caches.clear()
+        _give_back()
         _owner[:] = [owner]
     if name not in _caches:
         _caches[name] = make()
     return _caches[name]
 
 
+def _give_back() -> None:
+    """What is free in this process goes back to the machine; the allocators would keep it for this worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+    if trim:
+        trim(0)
+
+
 class Remembered(dict):
-    """A memo bounded by bytes: computes a missing value, and forgets all when it is full. Values of
-    long keys (base64 and minified lines) are computed each time."""
+    """A memo bounded by bytes: computes a missing value. When half of the bytes are full, they become the
+    older half, and what was the older half before is forgotten; values met again move to the younger one.
+    Values of long keys (base64 and minified lines) are computed each time."""
 
     def __init__(self, function: Callable, limit: int = CACHE_BYTES):
         super().__init__()
-        self.function, self.limit, self.held = function, limit, 0
+        self.function, self.limit, self.held, self.older = function, limit, 0, {}
 
     def __missing__(self, key):
-        value = self.function(key)
         if len(key) > LONGEST_KEY:
-            return value
+            return self.function(key)
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.function(key)
         size = sys.getsizeof(key) + sys.getsizeof(value) + 100  # and the dictionary's own
-        if self.held + size > self.limit:
+        if 2 * (self.held + size) > self.limit:
+            self.older = dict(self)
             self.clear()
             self.held = 0
         self.held += size

@@ -148,9 +148,12 @@ class Parser:
                 kept = kept[: self.limit]
             self.place.update(zip((values[k] for k in kept), range(len(self.known), len(self.known) + len(kept))))
             self.known = np.concatenate([self.known, numbers[kept].astype(np.int32)])
-        total = np.zeros((len(codes) + 1, self.width), np.int64)
-        np.cumsum(numbers[codes], axis=0, out=total[1:])
-        return np.diff(total[bounds], axis=0)
+        total = np.zeros(len(codes) + 1, np.int64)
+        found = np.empty((len(texts), self.width), np.int64)
+        for k in range(self.width):  # one column at a time: there are as many codes as pieces
+            np.cumsum(numbers[codes, k], out=total[1:])
+            found[:, k] = np.diff(total[bounds])
+        return found
 
 
 def _judge(langs: list[str], numbers: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array, np.ndarray]:

@@ -99,7 +99,10 @@ class Encoder:
         n = sizes[codes]
         ends = np.cumsum(n)
         first = np.cumsum(sizes) - sizes
-        ids = vocabulary[np.repeat(first[codes] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        count = int(ends[-1]) if len(ends) else 0
+        at = np.repeat((first[codes] - ends + n).astype(np.int32 if count < 1 << 30 and len(vocabulary) < 1 << 30 else np.int64), n)
+        at += np.arange(count, dtype=at.dtype)
+        ids = vocabulary[at]
         return ids, np.append(0, ends[bounds[1:] + np.arange(len(texts))])
 
 

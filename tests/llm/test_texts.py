@@ -421,3 +421,12 @@ def test_url_filters_merge_from_the_leaves_up(spark):
     assert {found[k] for k in range(8)} == {("h.org/~", 9 / 10)}
     assert {found[k] for k in range(8, 12)} == {("h.org/c/p/u/x", 5 / 6)}
     assert {found[k] for k in range(12, 16)} == {("h.org/c/p/v/x", 1 / 6)}
+
+
+def test_a_full_memo_keeps_what_is_met_again():
+    made = Counter()
+    memo = common.Remembered(lambda key: made.update([key]) or key.upper(), limit=20_000)
+    for k in range(5000):
+        assert memo[b"often"] == b"OFTEN" and memo[b"%d" % k] == b"%d" % k
+        assert 2 * memo.held <= 20_000 and len(memo.older) < 100
+    assert made[b"often"] == 1 and len(made) == 5001
