@@ -8,7 +8,8 @@ after the last pass is a repeated window, exactly.
    bytes with the smallest hash, and where it stands. Equal windows have equal anchors at equal places, and
    neighbouring windows mostly share one, so suffixes travel as runs: the windows of one anchor, packed as
    one string.
-2. Texts are written once, in compressed chunks of some megabytes. A chunk sends its distinct anchors, sorted
+2. Texts are written once, in compressed chunks of some megabytes, as a table bucketed by chunk: what comes back
+   for a chunk goes to where it lies, and the texts are never shuffled. A chunk sends its distinct anchors, sorted
    and cut by their first bits, to the shards where all chunks' anchors meet, and gets one bit for each back:
    whether it occurs elsewhere too. Runs of other anchors do not travel.
 3. Equal runs are told by 128-bit hashes: all but the first are repeats as a whole, within a task at once.
@@ -21,6 +22,7 @@ settled by an aggregate over 128-bit hashes of their windows, for these buckets
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
 from .common import bytes_of, chunks_of, mixed, signed, stored
 
 #: Windows whose anchors are looked for at once, so that the arrays stay in the processor's cache.
@@ -39,6 +42,10 @@ SEGMENT = 1 << 16
 CHUNK = 4 << 20
 #: Occurrences of one anchor in a shard of its bucket.
 SHARD = 20_000
+#: Chunks of a bucket of the table of chunks, on average.
+BUCKET_CHUNKS = 3
+#: Buckets that Spark allows a table.
+MOST_BUCKETS = 100_000
 #: Runs that a map task remembers having sent.
 SENT = 200_000
 #: Windows that a bucket task sorts at once.
@@ -123,6 +130,18 @@ def _chunks(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(pack, _CHUNK)
 
 
+def _bucketed(chunks: DataFrame, buckets: int) -> DataFrame:
+    """The same chunks, written to the shared folder in buckets by chunk, so that joins by chunk read them where
+    they lie. The catalog has the table only until it is opened."""
+    spark = chunks.sparkSession
+    name = f"scorewright_chunks_{uuid.uuid4().hex}"
+    chunks.write.format("parquet").bucketBy(buckets, "chunk").option("path", f"{shared_folder(spark)}/scorewright/{name}").saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved: its files and buckets are known
+    spark.sql(f"drop table {name}")
+    return table
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of about as many bytes of text as `chunks_of` allows, also where Spark's are smaller."""
     held, size = [], 0
@@ -405,10 +424,10 @@ def _sorted(sent: DataFrame, window: int) -> DataFrame:
     return sent.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(sort, _RANGES)
 
 
-def _repeated(chunks: DataFrame, window: int, size: int) -> DataFrame:
+def _repeated(chunks: DataFrame, window: int, size: int, buckets: int) -> DataFrame:
     """(chunk, doc, start, stop): bytes of windows that start earlier too, in pieces that may overlap."""
     bits = (max(0, size // (anchor_spacing(window) * ANCHORS))).bit_length()
-    answers = _shared(chunks, window, bits).groupBy("chunk").agg(F.collect_list(F.struct("shard", "bits", "places", "shards")).alias("asked"))
+    answers = _shared(chunks, window, bits).repartition(buckets, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("shard", "bits", "places", "shards")).alias("asked"))
     asked = chunks.join(answers, "chunk").select("chunk", "doc_ids", "rows", "ends", "data", "asked", F.lit(bits).alias("bits"))
     found = stored(_sorted(_send(asked, window), window), "ranges")
     windows = found.filter("w1 is not null")
@@ -438,9 +457,10 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 100, id_col: str = "doc
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")
     ).withColumn("row", F.xxhash64("text"))
-    chunks = stored(_chunks(texts), "chunks")
-    size = chunks.agg(F.coalesce(F.sum(F.element_at("ends", -1)), F.lit(0))).first()[0]
-    ranges = _repeated(chunks, window, size).groupBy("chunk").agg(F.collect_list(F.struct("doc", "start", "stop")).alias("ranges"))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    buckets = min(MOST_BUCKETS, size // (BUCKET_CHUNKS * CHUNK) + 1)
+    chunks = _bucketed(_chunks(texts), buckets)
+    ranges = _repeated(chunks, window, size, buckets).repartition(buckets, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("doc", "start", "stop")).alias("ranges"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

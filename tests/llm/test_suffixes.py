@@ -106,3 +106,19 @@ def test_nothing_to_remove(documents):
     assert suffix_radix.remove_repeated_bytes(documents([])).count() == 0
     rows = suffix_radix.remove_repeated_bytes(documents([(1, "short"), (2, "short"), (3, None)])).collect()
     assert sorted((r["doc_id"], r["n_removed"], bytes(r["text"])) for r in rows) == [(1, 0, b"short"), (2, 0, b"short"), (3, 0, b"")]
+
+
+def test_chunks_are_joined_where_they_lie(spark, sf):
+    """The texts are written once, by chunk: neither join of the chunks shuffles or sorts them by anything else."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    tables = {t.name for t in spark.catalog.listTables()}
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = suffix_radix.remove_repeated_bytes(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert kept.count() == docs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert {t.name for t in spark.catalog.listTables()} == tables
