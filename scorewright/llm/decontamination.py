@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import rows_of, stored, word_hashes
+from .common import byte_classes, chunks_of, pieces_of, rows_of, stored, word_hashes
 
 #: Terms that may be broadcast: 16 bytes each.
 MAX_TERMS = 2_000_000
@@ -29,6 +29,8 @@ MAX_TERMS = 2_000_000
 MAX_CANDIDATES = 200_000
 
 _KEEP = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() and b < 0x80 else 32 for b in range(256))
+#: The same for whole columns.
+_CHANGE, _GAPS = np.frombuffer(_KEEP, np.uint8), byte_classes(b" ")
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -68,37 +70,46 @@ def _broadcast_terms(terms: DataFrame):
     return terms.sparkSession.sparkContext.broadcast(values)
 
 
-def _chosen(ids: np.ndarray, shared) -> np.ndarray:
-    """Positions of the ids that are among the broadcast terms; all where nothing was broadcast."""
+def _among(ids: np.ndarray, shared) -> np.ndarray:
+    """Which ids are among the broadcast terms; all where nothing was broadcast."""
     if shared is None:
-        return np.arange(len(ids))
+        return np.ones(len(ids), bool)
     terms = shared.value
     if not len(terms) or not len(ids):
-        return np.empty(0, np.int64)
-    at = np.minimum(np.searchsorted(terms, ids), len(terms) - 1)
-    return np.flatnonzero(terms[at] == ids)
+        return np.zeros(len(ids), bool)
+    return terms[np.minimum(np.searchsorted(terms, ids), len(terms) - 1)] == ids
+
+
+def _terms_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each word's term, where each text's words start and the last ones end, and the terms' ids:
+    words as `words` cuts them, each distinct one hashed once."""
+    codes, bounds, values = pieces_of(texts, _GAPS, _CHANGE)
+    values = values.to_pylist()
+    return codes, bounds, np.fromiter(map(xxhash.xxh3_64_intdigest, values), np.uint64, len(values)).view(np.int64)
 
 
 def _frequencies(texts: DataFrame, shared) -> DataFrame:
     """(term, n): how often the benchmark's terms occur in all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         rows = 0
-        for batch in rows_of(batches):
-            for text in batch.column("text").to_pylist():
-                ids = term_ids(words(text))
-                held.append(ids[_chosen(ids, shared)])
-                rows += len(held[-1])
+        for batch in chunks_of(batches, "text"):
+            codes, _, ids = _terms_of(batch.column("text"))
+            own = _among(ids, shared)
+            held.append((ids[own], np.bincount(codes, minlength=len(ids))[own]))
+            rows += len(held[-1][0])
             if rows > 1_000_000:
                 yield counted(held)
                 held, rows = [], 0
         if held:
             yield counted(held)
 
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        terms, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n.astype(np.int64))], ["term", "n"])
+    def counted(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        terms, back = np.unique(np.concatenate([ids for ids, _ in held]), return_inverse=True)
+        n = np.zeros(len(terms), np.int64)
+        np.add.at(n, back, np.concatenate([n for _, n in held]))
+        return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n)], ["term", "n"])
 
     return texts.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
@@ -107,18 +118,19 @@ def build_index(texts: DataFrame, shared) -> tuple[DataFrame, DataFrame]:
     """Postings (term, doc_id, row, position) of the shared terms, and (doc_id, row, n_words) of all documents."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_of(batches):
-            sizes, terms, places = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = term_ids(words(text))
-                at = _chosen(ids, shared)
-                sizes.append(len(ids))
-                terms.append(ids[at].tolist())
-                places.append(at.tolist())
+        for batch in chunks_of(batches, "text"):
+            codes, bounds, ids = _terms_of(batch.column("text"))
+            at = np.flatnonzero(_among(ids, shared)[codes])
+            ends = np.searchsorted(at, bounds)
+            places = at - np.repeat(bounds[:-1], np.diff(ends))
+            ends = pa.array(ends.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(terms, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
+                [
+                    batch.column("doc_id"), batch.column("row"), pa.array(np.diff(bounds).astype(np.int64)),
+                    pa.ListArray.from_arrays(ends, pa.array(ids[codes[at]])), pa.ListArray.from_arrays(ends, pa.array(places.astype(np.int32))),
+                ],
                 ["doc_id", "row", "n_words", "terms", "positions"],
-            )
+            )
 
     segments = stored(
         texts.select("doc_id", "row", "text").mapInArrow(post, "doc_id long, row long, n_words long, terms array<long>, positions array<int>"),

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -248,3 +249,13 @@ def test_empty_tables(spark, documents, operator):
         assert [(r["n_words"], r["n_hit"], r["items"]) for r in some] == [(3, 0, [])]
     else:
         assert forest_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_words_of_whole_columns_are_those_of_each_text():
+    rng = random.Random(5)
+    column = [None, b"", b" a ", b"A-b_c1\x00d", "É日本 x".encode(), b"\t\n"]
+    column += [bytes(rng.choice(b"aB1 -_.\n\xc3\xa9") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    for texts in (pa.array(column, pa.binary()), pa.array(column, pa.binary()).slice(3, 50)):
+        codes, bounds, ids = decontamination._terms_of(texts)
+        found = [ids[codes[a:b]].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert found == [decontamination.term_ids(decontamination.words(t)).tolist() for t in texts.to_pylist()]
