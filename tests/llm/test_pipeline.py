@@ -8,6 +8,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -132,3 +133,20 @@ def test_query_equals_sql(spark, sf, name):
 
 def test_cut_offs_ignore_tables_without_candidates(documents):
     assert set(secret_scan.cut_offs(documents([(1, "a")]).select("text"), 0.01).values()) == {secret_scan.TOP + 1}
+
+
+def test_workers_get_their_rows_in_small_batches(spark, tmp_path):
+    key = corpus_pipeline.BATCH_BYTES
+    before = spark.conf.get(key)
+    try:
+        docs = spark.createDataFrame([(k, "word " * 100_000, "en", "s", 500_000) for k in range(24)], KIND).coalesce(1)
+        corpus_pipeline.pack(spark, docs, str(tmp_path))
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"bytes": pa.array([batch.nbytes], pa.int64())})
+
+        found = [r["bytes"] for r in docs.mapInArrow(sizes, "bytes long").collect()]
+        assert len(found) > 1 and max(found) <= corpus_pipeline.BATCH + 600_000
+    finally:
+        spark.conf.set(key, before)
