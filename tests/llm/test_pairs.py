@@ -235,6 +235,36 @@ def test_forest_counts_each_pair_once_in_blocks(spark, monkeypatch):
     assert max(r["n_links"] for r in found) <= 59 and np.mean([r["n_links"] for r in found]) > 58
 
 
+def test_forest_sends_a_vector_to_its_nearest_leaves_only():
+    rng = np.random.default_rng(4)
+    v = forest_dedup._unit(rng.standard_normal((6000, 24)))
+    nodes = forest_dedup._fit_tree(v, rng, 12, 0.2, 0.0)
+    tree = forest_dedup.Tree(nodes, 24)
+    v = forest_dedup._unit(rng.standard_normal((300, 24))).astype(np.float32)
+
+    def all_leaves(at, x, cost):
+        direction, middle, margin, left, right = nodes[at]
+        if direction is None:
+            return [(cost, middle)]
+        along = float(x @ direction.astype(np.float32)) - middle
+        near, far = (left, right) if along <= 0 else (right, left)
+        return all_leaves(near, x, cost) + (all_leaves(far, x, cost + along**2) if abs(along) <= margin else [])
+
+    row, leaf = tree.leaves(v, 4)
+    every = [sorted(all_leaves(0, x, 0.0)) for x in v]
+    assert np.mean([len(e) for e in every]) > 8  # this grows with the depth, the number of probes does not
+    for k, e in enumerate(every):
+        own = set(leaf[row == k].tolist())
+        assert len(own) == (row == k).sum() == min(4, len(e)) and e[0][1] in own
+        assert all(cost <= e[len(own) - 1][0] + 1e-5 for cost, number in e if number in own)
+
+
+def test_forest_counts_a_pair_of_earlier_leaves_once():
+    leaves = pa.array([[1, 5, 70, 90], [5, 90], [2, 90, 95], []], pa.list_(pa.int32()))
+    words = forest_dedup._earlier_leaves(leaves.slice(0, 3), 90)
+    assert [[bool((words[i] & words[j]).any()) for j in range(3)] for i in range(3)] == [[True, True, False], [True, True, False], [False] * 3]
+
+
 @pytest.mark.parametrize("operator", ["substring", "jaccard", "contamination", "forest"])
 def test_empty_tables(spark, documents, operator):
     empty = documents([])
