@@ -6,14 +6,13 @@ minimisers. Consecutive windows that share one are a super-k-mer: its words form
 1. The minimisers of all windows are counted (narrow rows, map-side combine). One that only a single
    document has can't hold a repeat; its windows need not travel.
 2. The packed strings of the others go to the bucket of their minimiser, each distinct string once per
-   map task with the smallest id it saw. A bucket cuts its strings into windows and sorts them: every
-   window gets the smallest id that has it, by comparing whole words.
+   map task with the smallest id it saw. A task numbers the words of its buckets and sorts their windows:
+   every window gets the smallest id that has it, by comparing whole words.
 3. An occurrence in a document other than its string's first one is a repeat as a whole; the first
    document loses just those windows that stand in some other string of a smaller id.
 
-Buckets with very many occurrences (a passage in a third of all documents) are dealt over shards by
-their strings; what is equal between shards is then settled by a narrow aggregate over 128-bit hashes
-of the windows, for these buckets only.
+Buckets with very many occurrences (a passage in a third of all documents) are in no single task: the
+windows of their distinct strings are told by 128-bit hashes in a narrow aggregate.
 """
 
 from __future__ import annotations
@@ -26,19 +25,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lists, rows_of, signed, stored, text_hashes, window_hashes, word_hashes
+from .common import SPACES, lists, mixed, pieces_of, rows_of, signed, stored, text_hashes, window_hashes, word_hashes
 
 #: Words of the runs whose smallest hash is a window's minimiser.
 RUN = 4
-#: Occurrences of one minimiser in a shard of its bucket.
+#: Occurrences of one minimiser from which its bucket is not in a single task.
 SHARD = 20_000
 #: Packed strings that a map task remembers having sent.
 SENT = 50_000
-#: Strings and windows whose verdicts a bucket task holds before it hands them on.
-HELD = 20_000
-_NONE = np.empty(0, np.int64)
+#: Bytes of packed strings from which a bucket task compares them.
+HELD = 4 << 20
+#: Pairs of windows whose words are compared at once.
+PAIRS = 20_000
+_FACTOR = 0x9E3779B97F4A7C15
 
-_SENT = "minimiser long, shard long, string long, string2 long, doc_id long, row long, start int, n_words int, packed binary"
+_SENT = "minimiser long, hot boolean, string long, string2 long, doc_id long, row long, start int, n_words int, packed binary"
+_RANGES = "string long, string2 long, first_id long, ranges array<struct<a:int,b:int>>"
 
 
 def _super_kmers(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,26 +67,31 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
 
     def minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
-            found = [np.unique(_of_hashes(h, window)[0]) for h in text_hashes(batch.column("text"))]
-            sizes = [len(f) for f in found]
-            at = np.repeat(np.arange(len(sizes)), sizes)
-            flat = signed(np.concatenate(found)) if found else np.empty(0, np.int64)
+            found = [np.unique(_of_hashes(h, window)[0], return_counts=True) for h in text_hashes(batch.column("text"))]
+            sizes = [len(least) for least, _ in found]
+            at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            least, times = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id").take(pa.array(at)), "row": batch.column("row").take(pa.array(at)), "minimiser": pa.array(flat)}
+                {
+                    "doc_id": batch.column("doc_id").take(at),
+                    "row": batch.column("row").take(at),
+                    "minimiser": pa.array(signed(least)),
+                    "times": pa.array(times, pa.int64()),
+                }
             )
 
     docs = docs.filter("doc_id is not null and text is not null")
-    seen = stored(docs.mapInArrow(minimisers, "doc_id long, row long, minimiser long"), "minimisers")
+    seen = stored(docs.mapInArrow(minimisers, "doc_id long, row long, minimiser long, times long"), "minimisers")
     shared = (
         seen.groupBy("minimiser")
-        .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
+        .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum("times").alias("n"))
         .filter("lo <> hi")
-        .select("minimiser", (F.floor(F.col("n") / SHARD) + 1).cast("long").alias("shards"))
+        .select("minimiser", (F.col("n") >= SHARD).alias("hot"))
     )
     asked = (
         seen.join(shared, "minimiser")
         .groupBy("doc_id", "row")
-        .agg(F.collect_set(F.struct("minimiser", "shards")).alias("asked"))
+        .agg(F.collect_set(F.struct("minimiser", "hot")).alias("asked"))
     )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,12 +101,12 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "row", "text", "asked"))
             for doc_id, row, text, asked, hashes in zip(*columns, text_hashes(batch.column("text")), strict=True):
                 words = text.split()
-                shards = {a["minimiser"]: a["shards"] for a in asked}
+                hot = {a["minimiser"]: a["hot"] for a in asked}
                 ends = np.cumsum([len(w) + 1 for w in words])
                 joined = b" ".join(words)
                 least, first, end = _of_hashes(hashes, window)
                 for m, i, j in zip(signed(least).tolist(), first.tolist(), end.tolist(), strict=True):
-                    if m in shards:
+                    if m in hot:
                         j += window - 1
                         packed = joined[ends[i - 1] if i else 0 : ends[j - 1] - 1]
                         h = xxhash.xxh3_128_digest(packed)
@@ -110,10 +117,10 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
                                 sent.clear()
                             sent[h] = doc_id
                         h1, h2 = np.frombuffer(h, np.int64).tolist()
-                        rows.append((m, h1 % shards[m] + (shards[m] << 32), h1, h2, doc_id, row, i, j - i, packed))
+                        rows.append((m, hot[m], h1, h2, doc_id, row, i, j - i, packed))
             columns = list(zip(*rows, strict=True)) or [()] * 9
-            kinds = [pa.int64()] * 6 + [pa.int32()] * 2 + [pa.binary()]
-            names = ["minimiser", "shard", "string", "string2", "doc_id", "row", "start", "n_words", "packed"]
+            kinds = [pa.int64(), pa.bool_()] + [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
+            names = ["minimiser", "hot", "string", "string2", "doc_id", "row", "start", "n_words", "packed"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     occurrences = stored(
@@ -122,119 +129,159 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One bucket after the other, sorted by (minimiser, shard); many small ones make one batch."""
-        key, strings, out = None, {}, _Verdicts(window)
+        """One bucket after the other, sorted by minimiser; many small ones are compared at once."""
+        key, size, bucket, alone, strings = None, 0, {}, {}, {}
         for batch in rows_of(batches, 2000):
-            for m, shard, packed, doc_id in zip(*(batch.column(c).to_pylist() for c in ("minimiser", "shard", "packed", "doc_id")), strict=True):
-                if (m, shard) != key:
-                    out.add(key, strings)
-                    if out.size >= HELD:
-                        yield out.taken()
-                    key, strings = (m, shard), {}
-                strings[packed] = min(doc_id, strings.get(packed, doc_id))
-        out.add(key, strings)
-        yield out.taken()
-
-    verdicts = stored(
-        occurrences.filter("packed is not null")
-        .select("minimiser", "shard", "packed", "doc_id")
-        .repartition("minimiser", "shard")
-        .sortWithinPartitions("minimiser", "shard")
-        .mapInArrow(count, "string long, string2 long, first_id long, starts array<int>, ends array<int>, w1 array<long>, w2 array<long>, least array<long>"),
-        "buckets",
+            for m, packed, doc_id in zip(*(batch.column(c).to_pylist() for c in ("minimiser", "packed", "doc_id")), strict=True):
+                if m != key:
+                    (strings if len(bucket) > 1 else alone).update(bucket)  # no other string could share a window with a lone one
+                    if size >= HELD:
+                        yield _verdicts(strings, alone, window)
+                        size, alone, strings = 0, {}, {}
+                    key, bucket = m, {}
+                if packed not in bucket:
+                    size += len(packed)
+                bucket[packed] = min(doc_id, bucket.get(packed, doc_id))
+        (strings if len(bucket) > 1 else alone).update(bucket)
+        yield _verdicts(strings, alone, window)
+
+    sent = occurrences.filter("packed is not null")
+    exact = (
+        sent.filter("not hot")
+        .select("minimiser", "packed", "doc_id")
+        .repartition("minimiser")
+        .sortWithinPartitions("minimiser")
+        .mapInArrow(count, _RANGES)
     )
-    ranges = verdicts.select(
-        "string", "string2", "first_id", F.explode(F.arrays_zip("starts", "ends")).alias("r")
-    ).select("string", "string2", "first_id", F.col("r.starts").alias("a"), F.col("r.ends").alias("b"))
-
-    # buckets of several shards: what each window's smallest id is over all of them
-    windows = verdicts.filter("size(w1) > 0").select(
-        "string", "string2", "first_id", F.posexplode(F.arrays_zip("w1", "w2", "least")).alias("at", "w")
-    ).select("string", "string2", "first_id", "at", F.col("w.w1").alias("w1"), F.col("w.w2").alias("w2"), F.col("w.least").alias("least"))
-    least = windows.groupBy("w1", "w2").agg(F.min("least").alias("overall"))
-    ranges = ranges.union(
-        windows.join(least, ["w1", "w2"])
-        .filter("overall < first_id")
-        .select("string", "string2", "first_id", F.col("at").alias("a"), (F.col("at") + window).alias("b"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches, 200):
+            hashes = [_digests(packed, window) for packed in batch.column("packed").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("string", "string2", "first_id")), *(lists([h[:, k] for h in hashes], pa.int64()) for k in (0, 1))],
+                ["string", "string2", "first_id", "w1", "w2"],
+            )
+
+    cuts = stored(
+        sent.filter("hot")
+        .groupBy("string", "string2")
+        .agg(F.min("doc_id").alias("first_id"), F.first("packed").alias("packed"))
+        .mapInArrow(cut, "string long, string2 long, first_id long, w1 array<long>, w2 array<long>"),
+        "windows",
+    )
+    windows = cuts.select("string", "string2", "first_id", F.posexplode(F.arrays_zip("w1", "w2")).alias("at", "w")).select(
+        "string", "string2", "first_id", "at", F.col("w.w1").alias("w1"), F.col("w.w2").alias("w2")
     )
-    firsts = verdicts.select("string", "string2", "first_id")  # a string is in one shard of one bucket
-    placed = occurrences.select("string", "string2", "doc_id", "row", "start", "n_words")
-    repeats = placed.join(firsts, ["string", "string2"]).filter("doc_id > first_id").select(
-        "doc_id", "row", "start", (F.col("start") + F.col("n_words")).alias("end")
+    least = windows.groupBy("w1", "w2").agg(F.min("first_id").alias("least"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows by string and place become one row a string, or two where a batch ends within it."""
+        for batch in batches:
+            if batch.num_rows:
+                string, string2, first_id, at, low = (batch.column(c).to_numpy() for c in ("string", "string2", "first_id", "at", "least"))
+                new = np.ones(len(at), bool)
+                new[1:] = (string[1:] != string[:-1]) | (string2[1:] != string2[:-1])
+                yield _ranges(string[new], string2[new], first_id[new], *_stretches(np.cumsum(new) - 1, at, low < first_id, window))
+
+    settled = (
+        windows.join(least, ["w1", "w2"])
+        .select("string", "string2", "first_id", "at", "least")
+        .repartition("string", "string2")
+        .sortWithinPartitions("string", "string2", "at")
+        .mapInArrow(merge, _RANGES)
     )
-    inner = (
-        placed.join(ranges, ["string", "string2"])
-        .filter("doc_id = first_id")
-        .select("doc_id", "row", (F.col("start") + F.col("a")).alias("start"), (F.col("start") + F.col("b")).alias("end"))
+
+    whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n_words").alias("b")))
+    return (
+        occurrences.select("string", "string2", "doc_id", "row", "start", "n_words")
+        .join(exact.unionByName(settled), ["string", "string2"])  # a string has one minimiser, so it is in one of them
+        .filter("doc_id > first_id or size(ranges) > 0")
+        .select("doc_id", "row", "start", F.explode(F.when(F.col("doc_id") > F.col("first_id"), whole).otherwise(F.col("ranges"))).alias("r"))
+        .select("doc_id", "row", (F.col("start") + F.col("r.a")).alias("start"), (F.col("start") + F.col("r.b")).alias("end"))
     )
-    return repeats.union(inner)
 
 
-class _Verdicts:
+def _digests(packed: bytes, window: int) -> np.ndarray:
+    """128 bits of each window of a string, as two columns."""
+    ends = np.cumsum([len(w) + 1 for w in packed.split(b" ")]).tolist()
+    begins = [0, *ends]
+    found = b"".join(xxhash.xxh3_128_digest(packed[begins[k] : ends[k + window - 1] - 1]) for k in range(len(ends) - window + 1))
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
+
+
+def _verdicts(strings: dict[bytes, int], alone: dict[bytes, int], window: int) -> pa.RecordBatch:
     """What the buckets say of their strings: where a string's first document has windows that a smaller id has too."""
+    first_ids = np.fromiter((*strings.values(), *alone.values()), np.int64, len(strings) + len(alone))
+    string = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, (*strings, *alone))), np.int64).reshape(-1, 2)
+    return _ranges(string[:, 0], string[:, 1], first_ids, *_repeated(list(strings), first_ids[: len(strings)], window))
+
+
+def _ranges(
+    string: np.ndarray, string2: np.ndarray, first_ids: np.ndarray, which: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> pa.RecordBatch:
+    """A row for each string, with those of the ranges that are of its number."""
+    offsets = np.append(0, np.cumsum(np.bincount(which, minlength=len(first_ids)))).astype(np.int32)
+    ranges = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["a", "b"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(string), pa.array(string2), pa.array(first_ids), pa.ListArray.from_arrays(pa.array(offsets), ranges)],
+        ["string", "string2", "first_id", "ranges"],
+    )
+
 
-    def __init__(self, window: int):
-        self.window = window
-        self.clear()
-
-    def clear(self) -> None:
-        self.size = 0
-        self.hashes: list[bytes] = []
-        self.first_ids: list[int] = []
-        self.parts: list[list[np.ndarray]] = [[], [], [], [], []]  # starts, ends, w1, w2, least
-
-    def add(self, key: tuple | None, strings: dict[bytes, int]) -> None:
-        if not strings:
-            return
-        several = key[1] >> 32 > 1
-        if len(strings) == 1 and not several:  # no other string could share a window
-            cuts, least = [[]], {}
-        else:
-            cuts, least = _windows(strings, self.window)
-        for (packed, first_id), windows in zip(strings.items(), cuts, strict=True):
-            self.hashes.append(xxhash.xxh3_128_digest(packed))
-            self.first_ids.append(first_id)
-            self.size += 1 + len(windows)
-            own = [_NONE, _NONE, _NONE, _NONE, _NONE]
-            if windows:
-                low = np.fromiter((least[w] for w in windows), np.int64, len(windows))
-                if several:
-                    h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w) for w in windows), np.int64).reshape(-1, 2)
-                    own[2:] = h[:, 0], h[:, 1], low
-                else:
-                    at = np.flatnonzero(low < first_id)
-                    if len(at):
-                        cut = np.flatnonzero(np.diff(at) > self.window)  # closer windows touch or overlap
-                        own[0] = at[np.append(0, cut + 1)]
-                        own[1] = at[np.append(cut, len(at) - 1)] + self.window
-            for part, x in zip(self.parts, own):
-                part.append(x)
-
-    def taken(self) -> pa.RecordBatch:
-        string = np.frombuffer(b"".join(self.hashes), np.int64).reshape(-1, 2)
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        columns = [lists([x.astype(np.int32) if k == pa.int32() else x for x in part], k) for part, k in zip(self.parts, kinds)]
-        made = pa.RecordBatch.from_arrays(
-            [pa.array(string[:, 0]), pa.array(string[:, 1]), pa.array(self.first_ids, pa.int64()), *columns],
-            ["string", "string2", "first_id", "starts", "ends", "w1", "w2", "least"],
-        )
-        self.clear()
-        return made
-
-
-def _windows(strings: dict[bytes, int], window: int) -> tuple[list[list[bytes]], dict[bytes, int]]:
-    """The windows of each string of a bucket, and the smallest id of each window."""
-    cuts, found = [], []
-    for packed, first_id in strings.items():
-        words = packed.split(b" ")
-        ends = np.cumsum([len(w) + 1 for w in words]).tolist()
-        begins = [0, *ends[:-1]]
-        cuts.append([packed[begins[k] : ends[k + window - 1] - 1] for k in range(len(words) - window + 1)])
-        found += [(w, first_id) for w in cuts[-1]]
-    least: dict[bytes, int] = {}
-    for w, first_id in sorted(found, reverse=True):  # the smallest id of a window comes last
-        least[w] = first_id
-    return cuts, least
+def _stretches(owner: np.ndarray, at: np.ndarray, hit: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, start and end of each stretch of words under the windows that are hit; windows are by owner and place."""
+    found = np.flatnonzero(hit)
+    owner, at = owner[found], at[found]
+    new = np.ones(len(found), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (np.diff(at) > window)  # closer windows touch or overlap
+    last = np.ones(len(found), bool)
+    last[:-1] = new[1:]
+    return owner[new], at[new], at[last] + window
+
+
+def _repeated(strings: list[bytes], first_ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String's number, start and end of each stretch of windows that a string of a smaller id has too. Windows
+    are places in one array of word numbers: none is an object of its own, however many a bucket has."""
+    if not strings:
+        return (np.empty(0, np.int64),) * 3
+    codes, bounds, _ = pieces_of(pa.array(strings, pa.binary()), SPACES)
+    sizes = np.diff(bounds) - window + 1
+    owner = np.repeat(np.arange(len(strings)), sizes)
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    group = _equal_windows(codes, bounds[owner] + at, window)
+    own = first_ids[owner]
+    least = np.full(group.max() + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, group, own)
+    return _stretches(owner, at, least[group] < own, window)
+
+
+def _equal_windows(codes: np.ndarray, places: np.ndarray, window: int) -> np.ndarray:
+    """A number for each window of word numbers, the same for equal windows only."""
+    hashes = _run_hashes(codes, window)[places]
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])
+    ordered, runs = places[order], np.lib.stride_tricks.sliding_window_view(codes, window)
+    same = np.flatnonzero(~new)
+    for k in range(0, len(same), PAIRS):  # equal hashes are no proof
+        pairs = same[k : k + PAIRS]
+        if not np.array_equal(runs[ordered[pairs]], runs[ordered[pairs - 1]]):
+            numbers: dict[bytes, int] = {}
+            return np.fromiter((numbers.setdefault(runs[p].tobytes(), len(numbers)) for p in places.tolist()), np.int64, len(places))
+    group = np.empty(len(places), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return group
+
+
+def _run_hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of `size` numbers, from those of runs half as long."""
+    hashes, length = mixed(codes.astype(np.uint64) + np.uint64(1)), 1
+    with np.errstate(over="ignore"):
+        while length < size:
+            step = min(length, size - length)
+            hashes = hashes[:-step] * np.uint64(pow(_FACTOR, step, 1 << 64)) + hashes[step:]
+            length += step
+    return hashes
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

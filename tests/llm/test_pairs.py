@@ -1,6 +1,7 @@
 """Substring dedup, Jaccard join, decontamination and forest against brute force."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -67,6 +68,71 @@ def test_substring_dedup_with_hot_buckets(documents, monkeypatch):
     assert sorted((tuple(r) for r in found), key=repr) == brute_repeats(rows, 10)
 
 
+def near_copies(n, length=97):
+    rng = random.Random(4)
+    base = [b"w%05d" % rng.randrange(99_999) for _ in range(length)]
+    found = []
+    for k in range(n):
+        words = list(base)
+        words[rng.randrange(length)] = b"x%06d" % k
+        found.append(b" ".join(words))
+    return found
+
+
+def test_substring_dedup_compares_a_large_bucket_in_little_memory(documents, monkeypatch):
+    """A worker holds a bucket's words as numbers, not an object for each window; these took 74 MB before, 21 since."""
+    made = {}
+    table = documents(texts()[:20])
+    as_it_is = type(table).mapInArrow
+    monkeypatch.setattr(type(table), "mapInArrow", lambda df, f, *a, **k: made.setdefault(f.__name__, f) and as_it_is(df, f, *a, **k))
+    substring_dedup.remove_repeats(table)
+    strings = near_copies(3000)
+    columns = {"minimiser": [7] * 3000, "shard": [1 << 32] * 3000, "packed": strings, "doc_id": list(range(3000))}
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in made["count"](iter([pa.RecordBatch.from_pydict(columns)])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(set(strings))
+    assert peak < 40e6
+
+
+def test_substring_dedup_writes_no_buckets(documents, monkeypatch):
+    """Verdicts go straight to their strings: for each file that it writes to a local disk, an executor starts chmod."""
+    names = []
+    monkeypatch.setattr(substring_dedup, "stored", lambda df, name: names.append(name) or common.stored(df, name))
+    rows = texts(5)
+    found = substring_dedup.remove_repeats(documents(rows), 10)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == brute_repeats(rows, 10)
+    assert "buckets" not in names and len(names) <= 3
+
+
+@pytest.mark.parametrize("share", [1, 20, 60])
+def test_substring_dedup_with_hot_and_other_buckets(documents, monkeypatch, share):
+    """Buckets on both sides of the limit, and one hot by a line that few documents repeat very often."""
+    monkeypatch.setattr(substring_dedup, "SHARD", share)
+    line = " ".join(f"l{k}" for k in range(12))
+    rows = texts(6) + [(2000 + k, " ".join(f"{line} {k} {j} y" for j in range(25))) for k in range(3)]
+    rows += [(3000 + k, x.decode()) for k, x in enumerate(near_copies(30, 40))]
+    found = substring_dedup.remove_repeats(documents(rows), 10).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == brute_repeats(rows, 10)
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_equal_windows_are_told_by_their_words(monkeypatch, collide):
+    if collide:
+        monkeypatch.setattr(substring_dedup, "_run_hashes", lambda codes, size: np.zeros(len(codes) - size + 1, np.uint64))
+    rng = random.Random(7)
+    for size in (1, 2, 3, 10, 50):
+        codes = np.array([rng.randrange(2) for _ in range(80)] * 2, np.int32)
+        places = np.array(sorted(rng.sample(range(160 - size + 1), 60)))
+        group = substring_dedup._equal_windows(codes, places, size)
+        for a, x in zip(places, group):
+            for b, y in zip(places, group):
+                assert (x == y) == np.array_equal(codes[a : a + size], codes[b : b + size])
+
+
 def test_super_kmers_cover_every_window_once():
     words = [b"%d" % (k * k % 23) for k in range(200)]
     least, first, end = substring_dedup._super_kmers(words, 10)
