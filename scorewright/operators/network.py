@@ -5,12 +5,15 @@ task sends the sum of its gradients, and these are added in a tree; only the sum
 network has weights, come to the driver, which takes the step (Adam). Batch normalisation uses the slice of
 a block, as is usual where batches are spread. Gradients are added in whole steps, and slices and dropout
 follow from the epoch and the block's number: a task run again after a lost executor changes nothing.
+
+Tables of up to ``ONE_TASK`` bytes are trained by one task that holds all blocks, in the same steps: thousands
+of steps are then no jobs. The numbers are the same either way.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,6 +35,8 @@ NORM_MOMENTUM, NORM_EPSILON = 0.99, 1e-3
 SEED = 42
 #: Rows of a block, and steps of an epoch at most: with more rows the batches grow, not their number.
 BLOCK_ROWS, STEPS = 65_536, 64
+#: Bytes of vectors, train and validation, that one task trains on by itself; larger tables take a job a step.
+ONE_TASK = 256 << 20
 #: Scores are told apart to this many levels for the area that stops the training.
 LEVELS = 1 << 14
 _WHOLE = float(1 << 40)
@@ -173,14 +178,20 @@ def _blocks(vectors: DataFrame):
     return read.mapInArrow(pack, "x binary, y binary").rdd.mapPartitionsWithIndex(unpacked).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _total(blocks: Iterable[tuple], each: Callable) -> tuple | None:
+    """The sum of each(block), None without blocks."""
+    total = None
+    for block in blocks:
+        own = each(block)
+        total = own if total is None else tuple(a + b for a, b in zip(total, own))
+    return total
+
+
 def _summed(rdd, each, zero):
     """The sum of each(block) over all blocks: within tasks, then in a tree where there are several."""
 
     def within(part: Iterator[tuple]) -> Iterator[tuple]:
-        total = None
-        for block in part:
-            own = each(block)
-            total = own if total is None else tuple(a + b for a, b in zip(total, own))
+        total = _total(part, each)
         if total is not None:
             yield total
 
@@ -199,23 +210,54 @@ def fit_network(train: DataFrame, validation: DataFrame, balanced: bool, epochs:
     start, without validation rows those of the last epoch.
     """
     own, held = _blocks(train), _blocks(validation)
-    rows, ones = _summed(own, lambda b: (len(b[2]), float(b[2].sum())), (0, 0.0))
+
+    def sizes(block: tuple) -> tuple:
+        return len(block[2]), float(block[2].sum()), block[1].nbytes
+
+    rows, ones, size = _summed(own, sizes, (0, 0.0, 0))
+    held_size = _summed(held, sizes, (0, 0.0, 0))[2]
     width = _summed(own, lambda b: (b[1].shape[1] * (b[0] == 0),), (0,))[0] or len((validation.first() or {"_x": [0]})["_x"])
     of_class = np.ones(2)
     if balanced and 0 < ones < rows:
         of_class = np.array([rows / (2 * (rows - ones)), rows / (2 * ones)])
+    plan = (rows, width, of_class, epochs, batch, seed)
+    if size + held_size <= ONE_TASK:
+
+        def alone(part: Iterator[tuple]) -> Iterator[tuple]:
+            sides: tuple[list, list] = ([], [])
+            for side, *block in part:
+                sides[side].append(block)
+            yield _train(*(lambda each, zero, blocks=blocks: _total(blocks, each) or zero for blocks in sides), *plan)
+
+        both = own.map(lambda b: (0, *b)).union(held.map(lambda b: (1, *b)))
+        found = both.coalesce(1).mapPartitions(alone).collect()
+        fitted = found[0] if found else (start(width, seed), at_rest(), [])
+    else:
+        fitted = _train(lambda each, zero: _summed(own, each, zero), lambda each, zero: _summed(held, each, zero), *plan)
+    own.unpersist()
+    held.unpersist()
+    return fitted
+
+
+def _train(
+    sum_own: Callable, sum_held: Callable, rows: int, width: int, of_class: np.ndarray, epochs: int, batch: int, seed: int
+) -> tuple[Weights, Weights, list[float]]:
+    """The training itself; the two functions add up what a function makes of each train or validation block."""
     weights, running = start(width, seed), at_rest()
     names = list(weights)
     steps = max(1, min(STEPS, -(-rows // batch)))
     moments: tuple[Weights, Weights] = tuple({n: np.zeros_like(weights[n]) for n in names} for _ in range(2))
     best, history, taken = (-1.0, weights, running), [], 0
     for epoch in range(epochs if rows else 0):
+        slices: dict[int, list[np.ndarray]] = {}  # of the blocks, in this epoch
         for step in range(steps):
 
-            def partial(block: tuple, weights=weights, epoch=epoch, step=step) -> tuple:
+            def partial(block: tuple, weights=weights, epoch=epoch, step=step, slices=slices) -> tuple:
                 number, x, y = block
-                order = np.random.Generator(np.random.Philox(key=[seed, epoch], counter=[0, 0, 0, number])).permutation(len(y))
-                chosen = np.array_split(order, steps)[step]
+                if number not in slices:
+                    order = np.random.Generator(np.random.Philox(key=[seed, epoch], counter=[0, 0, 0, number])).permutation(len(y))
+                    slices[number] = np.array_split(order, steps)
+                chosen = slices[number][step]
                 sums = [np.zeros(weights[n].shape, np.int64) for n in names]
                 stats = [np.zeros(v.shape, np.int64) for v in at_rest().values()]
                 if len(chosen) > 1:
@@ -225,7 +267,7 @@ def fit_network(train: DataFrame, validation: DataFrame, balanced: bool, epochs:
                     stats = [np.rint(v * len(chosen) * _WHOLE / BLOCK_ROWS).astype(np.int64) for v in (seen[n] for n in at_rest())]
                 return (len(chosen) * (len(chosen) > 1), *sums, *stats)
 
-            n, *sums = _summed(own, partial, (0,))
+            n, *sums = sum_own(partial, (0,))
             if not n:
                 continue
             taken += 1
@@ -244,12 +286,10 @@ def fit_network(train: DataFrame, validation: DataFrame, balanced: bool, epochs:
             level = np.minimum((forward(weights, running, x) * LEVELS).astype(int), LEVELS - 1)
             return (np.stack([np.bincount(level[y == c], minlength=LEVELS) for c in (1, 0)], axis=1),)
 
-        counts = _summed(held, levels, (np.zeros((LEVELS, 2), np.int64),))[0]
+        counts = sum_held(levels, (np.zeros((LEVELS, 2), np.int64),))[0]
         history.append(area_of_levels(counts))
         if history[-1] > best[0] or not counts.sum():
             best = (history[-1], weights, running)
         elif len(history) - 1 - int(np.argmax(history)) >= PATIENCE:
             break
-    own.unpersist()
-    held.unpersist()
     return best[1], best[2], history

@@ -154,3 +154,28 @@ def test_surrogates_are_plain(spark):
         for g in got:
             k = names.index(g["feature"])
             assert (g["low"] is None or x[k] > g["low"]) and (g["high"] is None or x[k] <= g["high"])
+
+
+def test_a_small_table_is_trained_by_one_task(spark, monkeypatch):
+    """In the same numbers as by a job a step, in a few jobs."""
+    train, held = vectors(spark, 300, 1, 3).persist(), vectors(spark, 200, 2, 2).persist()
+    assert train.count() == 300 and held.count() == 200  # the same blocks both times
+    context = spark.sparkContext
+
+    def fitted(group, **more):
+        context.setJobGroup(group, group)
+        try:
+            found = N.fit_network(train, held, True, batch=64, **more)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(context.statusTracker().getJobIdsForGroup(group))
+
+    (weights, running, history), jobs = fitted("one-task", epochs=5)
+    assert len(history) == 5 and jobs < 12
+    monkeypatch.setattr(N, "ONE_TASK", 0)
+    (others, resting, areas), many = fitted("by-steps", epochs=5)
+    assert many > jobs and history == areas
+    assert all((weights[k] == others[k]).all() for k in weights) and all((running[k] == resting[k]).all() for k in running)
+    none = vectors(spark, 10, 1, 1).limit(0)
+    monkeypatch.setattr(N, "ONE_TASK", 1 << 20)
+    assert N.fit_network(none, none, False, epochs=2)[2] == [] and N.fit_network(train, none, False, epochs=2)[2] == [0.0, 0.0]
