@@ -9,6 +9,10 @@ blocks and the pass, so eight class weights cost one set of jobs.
 Sums are whole numbers (gradients in fixed steps), so no order of tasks changes them: a task that is run
 again after a lost executor gives the same trees. The margins of finished trees are added to the blocks after
 every few trees, and the blocks are then checkpointed, so a lineage never grows with the trees.
+
+Where all blocks fit one task (``ONE_TASK`` bytes), a model is fitted by a task of its own instead, without a job
+a level. It adds the same whole numbers, of the drawn features and of the lighter child of a split alone (the other is
+what is left of the parent), so the trees are the same.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ MISSING = 255
 BLOCK_ROWS = 65_536
 #: Trees after which margins are added to the blocks.
 REFRESH = 10
+#: Bytes of blocks, margins and sums that one task may hold to fit a model by itself.
+ONE_TASK = 256 << 20
 
 
 @dataclass
@@ -71,6 +77,18 @@ class Tree:
             node = np.where(feature < 0, node, 2 * node + 2 - left)
         return node
 
+    def leaves_of_columns(self, codes: np.ndarray, levels: int) -> np.ndarray:
+        """The same for bin numbers by feature, [feature, row]: each node's rows read one feature."""
+        node, rows = np.zeros(codes.shape[1], np.int64), {0: np.arange(codes.shape[1])}
+        for k in range((1 << levels) - 1):
+            if self.feature[k] >= 0 and k in rows:
+                own = rows.pop(k)
+                code = codes[self.feature[k]][own]
+                left = np.where(code == MISSING, self.missing_left[k], code < self.bin[k])
+                rows[2 * k + 1], rows[2 * k + 2] = own[left], own[~left]
+                node[rows[2 * k + 1]], node[rows[2 * k + 2]] = 2 * k + 1, 2 * k + 2
+        return node
+
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each row of values; NaN is missing."""
         node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
@@ -246,7 +264,7 @@ def _blocks(df: DataFrame, encoding: Encoding, cuts: list[np.ndarray], specs: li
             codes = np.frombuffer(r["codes"], np.uint8).reshape(-1, width)
             yield (part << 20) + k, codes, np.frombuffer(r["y"], np.uint8).astype(float), np.frombuffer(r["w"], float).reshape(-1, models)
 
-    return written.mapInArrow(pack, "codes binary, y binary, w binary").rdd.mapPartitionsWithIndex(unpacked), path
+    return written.mapInArrow(pack, "codes binary, y binary, w binary").rdd.mapPartitionsWithIndex(unpacked)
 
 
 def _node_sums(codes: np.ndarray, node: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -302,6 +320,79 @@ def _drawn(seed: int, tree: int, block: int, rows: int, share: float) -> np.ndar
     return np.random.Generator(np.random.Philox(key=[seed, tree], counter=[0, 0, 0, block])).random(rows) < share
 
 
+def _leaf_values(tree: Tree, totals: np.ndarray) -> None:
+    """Cover and leaf values from the (g, h) of every node."""
+    tree.cover[:] = totals[:, 1]
+    leaf = tree.feature < 0
+    tree.value[leaf] = -RATE * totals[leaf, 0] / (totals[leaf, 1] + PENALTY)
+
+
+def _take(tree: Tree, totals: np.ndarray, node: int, best: tuple, cuts: list[np.ndarray]) -> None:
+    """Write a split found by ``best_split`` and the sums of its sides."""
+    gain, f, b, missing_left, left_g, left_h = best
+    tree.feature[node], tree.bin[node], tree.cut[node] = f, b, cuts[f][b - 1] if b - 1 < len(cuts[f]) else np.inf
+    tree.missing_left[node], tree.gain[node] = missing_left, gain
+    totals[2 * node + 1] = left_g, left_h
+    totals[2 * node + 2] = totals[node] - totals[2 * node + 1]
+
+
+def _allowed(spec: Spec, number: int, width: int, share: float) -> np.ndarray:
+    """The features that a tree may split."""
+    chosen = np.zeros(width, bool)
+    chosen[np.random.default_rng([spec.seed, number]).permutation(width)[: max(1, round(width * share))]] = True
+    return chosen
+
+
+def _grow_alone(
+    blocks: Iterator[tuple], m: int, spec: Spec, base: float, cuts: list[np.ndarray], steps: float, trees: int, depth: int, share: float
+) -> list[Tree]:
+    """All trees of one model from all blocks, as the passes of ``boost_many`` make them."""
+    held = [(number, np.ascontiguousarray(codes.T), y, w[:, m].copy(), np.full(len(y), base)) for number, codes, y, w in blocks]
+    width, bins, done = len(cuts), MISSING + 1, []
+
+    def sums(tree_rows: list[tuple], at: list[np.ndarray], features: np.ndarray) -> np.ndarray:
+        """[feature, bin, (g, h)] of the given rows of every block, in whole numbers."""
+        total = np.zeros((len(features), bins, 2), np.int64)
+        for (codes, g, h), rows in zip(tree_rows, at):
+            own_g, own_h = g[rows], h[rows]
+            for k, f in enumerate(features):
+                code = codes[f][rows].astype(np.intp)
+                total[k, :, 0] += np.bincount(code, own_g, bins).astype(np.int64)  # below 2^53: exact
+                total[k, :, 1] += np.bincount(code, own_h, bins).astype(np.int64)
+        return total
+
+    for number in range(trees):
+        tree, totals = Tree.empty(depth), np.zeros(((1 << depth + 1) - 1, 2))
+        features = np.flatnonzero(_allowed(spec, number, width, share))
+        drawn = [(codes, *_gradients(y, w, margin, steps)) for _, codes, y, w, margin in held]
+        at = {0: [np.flatnonzero(_drawn(spec.seed, number, block, len(y), share)) for block, _, y, _, _ in held]}
+        found = {0: sums(drawn, at[0], features)}
+        for level in range(depth):
+            first = (1 << level) - 1
+            for node in [n for n in range(first, 2 * first + 1) if n in found]:
+                own, rows = found.pop(node), at.pop(node)
+                if not own[0, :, 1].any():
+                    continue
+                totals[node] = own[0].sum(axis=0) / steps
+                best = best_split(own, np.ones(len(features), bool), steps)
+                if best is None:
+                    continue
+                _take(tree, totals, node, (best[0], int(features[best[1]]), *best[2:]), cuts)
+                if level + 1 == depth:
+                    continue
+                f, left, right = tree.feature[node], 2 * node + 1, 2 * node + 2
+                goes = [np.where((c := codes[f][r]) == MISSING, tree.missing_left[node], c < tree.bin[node]) for (codes, _, _), r in zip(drawn, rows)]
+                at[left], at[right] = [r[g] for r, g in zip(rows, goes)], [r[~g] for r, g in zip(rows, goes)]
+                less, more = (left, right) if sum(map(len, at[left])) <= sum(map(len, at[right])) else (right, left)
+                found[less] = sums(drawn, at[less], features)
+                found[more] = own - found[less]
+        _leaf_values(tree, totals)
+        done.append(tree)
+        for _, codes, _, _, margin in held:
+            margin += tree.value[tree.leaves_of_columns(codes, depth)]
+    return done
+
+
 def boost_many(
     df: DataFrame, features: list[str], specs: dict[str, Spec], target: str = TARGET, trees: int = TREES,
     depth: int = DEPTH, share: float = SHARE,
@@ -316,7 +407,7 @@ def boost_many(
     names, all_specs = list(specs), list(specs.values())
     encoding = Encoding.of(df, features)
     cuts = _cuts(df, encoding)
-    blocks, path = _blocks(df, encoding, cuts, all_specs, target)
+    blocks = _blocks(df, encoding, cuts, all_specs, target).persist(StorageLevel.MEMORY_AND_DISK)
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
@@ -328,6 +419,7 @@ def boost_many(
 
     weight, ones, rows = blocks.map(sizes).fold((0.0, 0.0, 0), lambda a, b: tuple(x + z for x, z in zip(a, b)))
     if not rows:
+        blocks.unpersist()
         return {n: Boosted(encoding, 0.0, []) for n in names}
     mean = np.clip(ones / weight, 1e-6, 1 - 1e-6)
     base = np.log(mean / (1 - mean))
@@ -335,6 +427,15 @@ def boost_many(
     steps = 2.0 ** min(30, 61 - math.ceil(math.log2(max(2.0, float(weight.max())))))
     models = len(names)
     width = len(encoding.inputs)
+    if rows * (width + 8 * models + 64) <= ONE_TASK:
+
+        def alone(m: int):
+            return lambda part: iter([(m, _grow_alone(part, m, all_specs[m], float(base[m]), cuts, steps, trees, depth, share))])
+
+        grown = dict(context.union([blocks.coalesce(1).mapPartitions(alone(m)) for m in range(models)]).collect())
+        blocks.unpersist()
+        return {n: Boosted(encoding, float(base[m]), grown[m]) for m, n in enumerate(names)}
+    blocks.unpersist()
     done: list[list[Tree]] = [[] for _ in names]
     state = blocks.map(lambda b: (*b, np.tile(base, (len(b[2]), 1)))).persist(StorageLevel.MEMORY_AND_DISK)
     fresh: list[list[Tree]] = [[] for _ in names]  # trees whose margins the blocks do not have yet
@@ -350,12 +451,7 @@ def boost_many(
 
     for number in range(trees):
         growing = [Tree.empty(depth) for _ in names]
-        allowed = []
-        for spec in all_specs:
-            rng = np.random.default_rng([spec.seed, number])
-            chosen = np.zeros(width, bool)
-            chosen[rng.permutation(width)[: max(1, round(width * share))]] = True
-            allowed.append(chosen)
+        allowed = [_allowed(spec, number, width, share) for spec in all_specs]
         totals = np.zeros((models, (1 << depth + 1) - 1, 2))
         for level in range(depth):
             first, nodes = (1 << level) - 1, 1 << level
@@ -389,21 +485,13 @@ def boost_many(
                 partial = partial.reduceByKey(np.add, min(parts, models * nodes))
             found = partial.map(split).collect()
             for m, node, whole, best in found:
-                tree = growing[m]
                 totals[m, node] = whole
-                if best is None:
-                    continue
-                gain, f, b, missing_left, left_g, left_h = best
-                tree.feature[node], tree.bin[node], tree.cut[node] = f, b, cuts[f][b - 1] if b - 1 < len(cuts[f]) else np.inf
-                tree.missing_left[node], tree.gain[node] = missing_left, gain
-                totals[m, 2 * node + 1] = left_g, left_h
-                totals[m, 2 * node + 2] = whole - totals[m, 2 * node + 1]
+                if best is not None:
+                    _take(growing[m], totals[m], node, best, cuts)
             if not any(b is not None for *_, b in found):
                 break
         for m, tree in enumerate(growing):
-            tree.cover[:] = totals[m, :, 1]
-            leaf = tree.feature < 0
-            tree.value[leaf] = -RATE * totals[m, leaf, 0] / (totals[m, leaf, 1] + PENALTY)
+            _leaf_values(tree, totals[m])
             done[m].append(tree)
             fresh[m].append(tree)
         if len(fresh[0]) == REFRESH and number + 1 < trees:

@@ -123,3 +123,29 @@ def test_importances_are_shares_of_mean_gains(spark):
     model = B.boost_many(table(spark, 5, 300), ["a", "b", "c"], {"m": B.Spec()}, "y", trees=3)["m"]
     shares = model.importances()
     assert set(shares) == {"a", "b", "c"} and math.isclose(sum(shares.values()), 1) and shares["b"] > 0
+
+
+def test_small_tables_are_fitted_without_a_job_a_level(spark, monkeypatch):
+    """One task a model gives the trees of the passes, from drawn rows and features, in a few jobs."""
+    monkeypatch.setattr(B, "REFRESH", 3)
+    df, made, blocks = table(spark, 7, 500), [], B._blocks
+    monkeypatch.setattr(B, "_blocks", lambda *a: made[0] if made else made.append(blocks(*a)) or made[0])  # the same blocks both times
+    specs = {"plain": B.Spec(), "heavy": B.Spec(positive_weight=3.0), "own": B.Spec(weight="wt", seed=5)}
+    context = spark.sparkContext
+
+    def fitted(group):
+        context.setJobGroup(group, group)
+        try:
+            models = B.boost_many(df, ["a", "b", "c"], specs, "y", trees=8, share=0.7)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        return models, len(context.statusTracker().getJobIdsForGroup(group))
+
+    alone, jobs = fitted("alone")
+    monkeypatch.setattr(B, "ONE_TASK", 0)
+    passes, many = fitted("passes")
+    assert jobs < 25 < many
+    for name in specs:
+        assert alone[name].base == passes[name].base and len(alone[name].trees) == 8
+        for s, t in zip(alone[name].trees, passes[name].trees, strict=True):
+            assert all(np.array_equal(getattr(s, f), getattr(t, f)) for f in ("feature", "bin", "cut", "missing_left", "value", "gain", "cover"))
