@@ -141,3 +141,29 @@ def test_neighbours_equal_brute_force(spark):
         assert [near[i][k][1] for k in (1, 2, 3)] == pytest.approx([gaps[i, j] for j in order])
         assert near[i][1][0] == min(j for j in range(600) if gaps[i, j] == gaps[i].min()) or (
             near[i][1][1] == pytest.approx(gaps[i].min()))
+
+
+def test_both_directions_equal_brute_force_in_any_parts(spark, monkeypatch):
+    """Rows travel once for each part of the other side; missing and infinite vectors have no neighbours and hide none."""
+    monkeypatch.setattr(N, "PAIRS", 1)
+    monkeypatch.setattr(N, "PARTS", 3)
+    rng = np.random.default_rng(5)
+    sides = [np.round(rng.normal(size=(n, 4)) * [1, 1, 100, 0.01], 1) for n in (500, 300)]
+    sides[1][7], sides[0][3], sides[1][8, 2], sides[0][9, 1] = sides[0][4], sides[0][4], np.nan, np.inf
+    tables = [
+        spark.createDataFrame([(i, [float(v) for v in p], float(i)) for i, p in enumerate(x)] + [(n, None, 0.0)], "id long, vector array<double>, p double")
+        for x, n in zip(sides, (500, 300))
+    ]
+    found = {(r.side, r.id): r for r in N.nearest_both(*tables, ["p"], block=32).collect()}
+    assert len(found) == 499 + 299
+    for side, (own, other) in enumerate((sides, sides[::-1])):
+        good = np.flatnonzero(np.isfinite(other).all(axis=1))
+        for i in np.flatnonzero(np.isfinite(own).all(axis=1)):
+            gaps = np.sqrt(((other[good] - own[i]) ** 2).sum(axis=1))
+            r = found[side, i]
+            assert r.distance == pytest.approx(gaps.min()) and gaps[list(good).index(r.neighbour_id)] == pytest.approx(gaps.min())
+            assert r.distance > 0 or r.neighbour_id == good[gaps == 0].min()
+            assert (r.p, r.neighbour_p) == (i, r.neighbour_id)
+    assert N.nearest(tables[0], tables[1].limit(0), []).count() == 0
+    alone = {r.id: r for r in N.nearest(tables[0], tables[1], ["p"]).collect()}
+    assert {i: (r.neighbour_id, r.distance) for i, r in alone.items()} == {i: (r.neighbour_id, r.distance) for (s, i), r in found.items() if not s}
