@@ -29,7 +29,7 @@ from .ordering import by_hash_prefix, looked_up, rank_cutoff
 #: Rows of a tile.
 BLOCK = 1024
 #: Pairs of rows that a task compares, until a side has ``PARTS`` parts; bytes of vectors and payload of a part.
-PAIRS, PARTS, PART_BYTES = 1 << 28, 8, 64 << 20
+PAIRS, PARTS, PART_BYTES = 1 << 28, 4, 64 << 20
 #: Pairs measured at once.
 _MEASURED = 1 << 16
 
@@ -210,7 +210,7 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest targets of every source: ``id, neighbour_id, distance, rank``.
 
-    Both tables have ``id``, ``vector`` (array of doubles without nulls) and the ``payload``
+    Both tables have ``id``, ``vector`` (array of numbers without nulls, compared as doubles) and the ``payload``
     columns, which come back as ``<name>`` and ``neighbour_<name>``. Equal distances go to the
     lower id. Rows whose vector is missing or not finite have no neighbours and are none.
     """

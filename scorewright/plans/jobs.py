@@ -306,11 +306,10 @@ def join_nearest_embeddings(spark, sf):
     """Nearest vector on the other side, where a side is the even or the odd labels."""
     vectors = V.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("id"),
-        F.col("embedding").cast("array<double>").alias("vector"),
+        F.col("embedding").alias("vector"),  # single precision travels as it is
         (F.col("label") % 2).alias("side"),
     )
-    sides = [vectors.where(F.col("side") == s) for s in (0, 1)]
-    both = N.nearest(*sides, []).unionByName(N.nearest(*sides[::-1], []))
+    both = N.nearest_both(*[vectors.where(F.col("side") == s) for s in (0, 1)], [])
     return rounded(both.select("id", "neighbour_id", "distance"))
 
 
