@@ -6,6 +6,7 @@ them into text needs no shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -400,6 +401,10 @@ def local_surrogate(
     return wide.mapInArrow(explain, f"`{key}` {kind}, feature string, low double, high double, weight double, place int")
 
 
+#: Rows whose versions one task makes; a row has some hundred.
+VERSION_ROWS = 8192
+#: Java does not compile a method of more bytes; a score's formula is longer. Spark then splits it.
+METHOD_BYTES = 8000
 #: Sizes of the sets of features that are taken from a donor, before all of them.
 TAKEN = (1, 2, 3, 5, 8, 12)
 
@@ -411,13 +416,14 @@ class Donors:
         self.pools, self.strongest = pools, strongest
 
     def near(self, x: np.ndarray, profile: int, scale: np.ndarray, wanted: int) -> np.ndarray:
-        """The nearest donors of the row's profile, then the strongest of all."""
+        """[row, donor, feature]: for rows of one profile the nearest donors of it, then the strongest of all."""
+        ends = np.broadcast_to(self.strongest, (len(x), *self.strongest.shape))
         pool = self.pools.get(profile)
         if pool is None or not len(pool):
-            return self.strongest
-        gaps = np.nan_to_num(np.abs(pool - x)) / scale
-        order = np.argsort(gaps.sum(axis=1), kind="stable")[:wanted]
-        return np.vstack([pool[order], self.strongest])
+            return ends
+        gaps = np.nan_to_num(np.abs(pool - x[:, None])) / scale
+        order = np.argsort(gaps.sum(axis=2), axis=1, kind="stable")[:, :wanted]
+        return np.concatenate([pool[order], ends], axis=1)
 
 
 def profile_code(names: list[str], cuts: dict[str, list[float]]) -> Column:
@@ -455,33 +461,50 @@ def donor_index(
     return made
 
 
-def partial_copies(x: np.ndarray, donor: np.ndarray, scale: np.ndarray) -> Iterator[tuple[int, float, np.ndarray]]:
-    """Versions of a row with more and more of the donor's values, the widest gaps first: (changed, distance, version)."""
-    new = np.where(np.isnan(donor), x, donor)
-    differs = ~((new == x) | (np.isnan(new) & np.isnan(x)))
-    gap = np.nan_to_num(np.abs(new - x)) / scale
-    order = [k for k in np.argsort(-gap, kind="stable") if differs[k]]
-    for n in sorted({min(n, len(order)) for n in (*TAKEN, len(order))} - {0}):
-        version = x.copy()
-        version[order[:n]] = new[order[:n]]
-        yield n, float(gap[order[:n]].sum()), version
-
-
-def diverse(found: list[tuple], wanted: int) -> list[tuple]:
-    """A few of the versions (donor, changed, distance, probability, values...), fewest changes first, then
-    those that differ in most values from all chosen before. One of each donor, more of one only if needed."""
-    found = sorted(found, key=lambda v: (v[1], v[2], v[0]))
-    leading = list({v[0]: v for v in reversed(found)}.values())[::-1]
-    leading.sort(key=lambda v: (v[1], v[2], v[0]))
-    chosen: list[tuple] = []
-    for candidates in (leading, found):
-        while len(chosen) < wanted:
-            apart = [(min((sum(a != b for a, b in zip(v[4:], c[4:])) for c in chosen), default=1), v) for v in candidates]
-            apart = [(n, v) for n, v in apart if n]
-            if not apart:
-                break
-            chosen.append(min(apart, key=lambda t: (-t[0], t[1][1], t[1][2], t[1][0]))[1])
-    return chosen
+def partial_copies(x: np.ndarray, donors: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Versions of rows with more and more of each donor's values, the widest gaps first.
+
+    From [row, feature] and [row, donor, feature]: row, donor, changed features, distance and the values of each version."""
+    width = x.shape[1]
+    own = np.broadcast_to(x[:, None], donors.shape)
+    new = np.where(np.isnan(donors), own, donors)
+    differs = ~((new == own) | (np.isnan(new) & np.isnan(own)))
+    gap = np.nan_to_num(np.abs(new - own)) / scale
+    order = np.argsort(np.where(differs, -gap, np.inf), axis=2, kind="stable")
+    rank = np.argsort(order, axis=2, kind="stable")
+    widest = np.take_along_axis(gap, order, 2)
+    most = differs.sum(axis=2)
+    sums = np.stack([widest[..., :n].sum(axis=2) for n in range(width + 1)], axis=2)
+    taken = np.stack([*(np.where(n < most, n, 0) for n in TAKEN), most], axis=2)  # 0: no version
+    row, donor, at = np.nonzero(taken)
+    changed = taken[row, donor, at]
+    values = np.where(rank[row, donor] < changed[:, None], new[row, donor], x[row])
+    return row, donor, changed, sums[row, donor, changed], values
+
+
+def diverse(row: np.ndarray, donor: np.ndarray, changed: np.ndarray, distance: np.ndarray, values: np.ndarray, wanted: int) -> np.ndarray:
+    """A few versions of every row, as their places by row and choice: fewest changes first, then those that
+    differ in most values from all chosen before. One of each donor, more of one only if needed."""
+    order = np.lexsort((donor, distance, changed, row))
+    row, donor, values = row[order], donor[order], values[order]
+    if not len(row):
+        return order
+    starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    of = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(row)]))
+    by_donor = np.lexsort((donor, of))  # stable: the first of a donor is its best
+    leading = np.zeros(len(row), bool)
+    leading[by_donor[np.r_[True, (of[by_donor[1:]] != of[by_donor[:-1]]) | (donor[by_donor[1:]] != donor[by_donor[:-1]])]]] = True
+    apart, places, chosen = np.ones(len(row), int), np.arange(len(row)), []
+    for _ in range(wanted):
+        score = np.where(leading, apart, 0)
+        score = np.where(np.maximum.reduceat(score, starts)[of] > 0, score, apart)
+        best = np.maximum.reduceat(score, starts)
+        first = np.minimum.reduceat(np.where(score == best[of], places, len(row)), starts)
+        chosen.append(np.where(best > 0, first, -1))
+        last = values[first[of]]
+        apart = np.minimum(apart if len(chosen) > 1 else values.shape[1], ((values != last) & ~(np.isnan(values) & np.isnan(last))).sum(axis=1))
+    picked = np.stack(chosen, axis=1).ravel()
+    return order[picked[picked >= 0]]
 
 
 def counterfactual(
@@ -496,7 +519,8 @@ def counterfactual(
     by default): the nearest of the row's profile, and those furthest on their side, which can turn whatever
     else can. A version takes a donor's values for its widest gaps first, as few as turn the decision. Chosen
     are versions that differ most. ``context`` columns never change. The index is bounded; versions are made,
-    scored and chosen where the row is, without a shuffle. Rows that no donor can turn, or without a
+    scored and chosen where the row is; only the rows themselves are dealt to enough tasks. Lowers the session's
+    limit of generated methods, which is read when the result is. Rows that no donor can turn, or without a
     score, have no version; missing values of a donor leave the row's own.
     """
     on = profile or features[:3]
@@ -511,51 +535,55 @@ def counterfactual(
     def versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         for batch in batches:
-            for k in range(0, batch.num_rows, 200):
-                part = batch.slice(k, 200)
-                x = np.column_stack([part.column(f).to_numpy(zero_copy_only=False).astype(float) for f in features])
-                rows, made = [], []
-                for i, (was, own) in enumerate(zip(part.column("_was").to_pylist(), part.column("_profile").to_pylist())):
-                    number += 1
-                    for d, donor in enumerate(index.value[not was].near(x[i], own, scale, near)):
-                        for changed, distance, version in partial_copies(x[i], donor, scale):
-                            rows.append(i)
-                            made.append((number, was, d, changed, distance, version))
-                values = np.array([m[5] for m in made], float).reshape(-1, len(features))
-                columns = [part.column(c).take(pa.array(rows, pa.int32())) for c in (key, *context)]
-                columns += [pa.array([m[j] for m in made], t) for j, t in enumerate((pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.float64()))]
-                columns += [pa.array(values[:, j], pa.float64(), mask=np.isnan(values[:, j])) for j in range(len(features))]
-                yield pa.RecordBatch.from_arrays(columns, [key, *context, *inner, *features])
+            x = np.column_stack([batch.column(f).to_numpy(zero_copy_only=False).astype(float) for f in features])
+            was, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_was", "_profile"))
+            order = np.lexsort((own, was))
+            edges = np.flatnonzero(np.r_[True, (was[order][1:] != was[order][:-1]) | (own[order][1:] != own[order][:-1])]) if len(order) else []
+            for group in np.split(order, edges[1:]) if len(order) else []:
+                side, profile_of = bool(was[group[0]]), int(own[group[0]])
+                for k in range(0, len(group), 200):
+                    some = group[k : k + 200]
+                    row, donor, changed, distance, values = partial_copies(x[some], index.value[not side].near(x[some], profile_of, scale, near), scale)
+                    columns = [batch.column(c).take(pa.array(some[row])) for c in (key, *context)]
+                    columns += [pa.array(v, t) for v, t in ((number + row, pa.int64()), (np.full(len(row), side), pa.bool_()), (donor, pa.int32()), (changed, pa.int32()), (distance, pa.float64()))]
+                    columns += [pa.array(values[:, j], pa.float64(), mask=np.isnan(values[:, j])) for j in range(len(features))]
+                    number += len(some)
+                    yield pa.RecordBatch.from_arrays(columns, [key, *context, *inner, *features])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, found = None, []
-
-        def chosen() -> list[tuple]:
-            return [(row[1], place, *v[1:]) for place, v in enumerate(diverse(found, wanted), 1)]
-
+        held = None  # what has turned of the last row, which may go on in the next batch
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = batch.column("_row")[batch.num_rows - 1].as_py()
             turned = pc.not_equal(pc.greater_equal(batch.column("probability"), threshold), batch.column("_was"))
-            batch, out = batch.filter(turned), []  # a null is no turn
-            for number, own, *version in zip(*(batch.column(c).to_pylist() for c in ("_row", key, "donor", "changed_features", "distance", "probability", *features))):
-                if row is None or row[0] != number:
-                    if row:
-                        out += chosen()
-                    row, found = (number, own), []
-                found.append(tuple(version))
-            yield written(out, batch)
-            last = batch
-        if row:
-            yield written(chosen(), last)
-
-    def written(out: list[tuple], batch: pa.RecordBatch) -> pa.RecordBatch:
-        kinds = [batch.schema.field(key).type, pa.int32(), pa.int32(), pa.float64(), pa.float64(), *[pa.float64()] * len(features)]
-        columns = list(zip(*out)) or [()] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [key, "place", "changed_features", "distance", "probability", *features])
+            found = pa.Table.from_batches([batch.filter(turned)])  # a null is no turn
+            found = pa.concat_tables([held, found]) if held is not None else found
+            ended = pc.less(found["_row"], last)
+            held = found.filter(pc.invert(ended))
+            yield from written(found.filter(ended))
+        if held is not None:
+            yield from written(held)
+
+    def written(found: pa.Table) -> Iterator[pa.RecordBatch]:
+        number, donor, changed, distance = (found[c].to_numpy() for c in ("_row", "donor", "changed_features", "distance"))
+        values = np.column_stack([found[f].to_numpy().astype(float) for f in features])
+        chosen = diverse(number, donor, changed, distance, values, wanted)
+        out, number = found.take(pa.array(chosen, pa.int64())), number[chosen]
+        starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else np.empty(0, int)
+        place = np.arange(len(number)) - np.repeat(starts, np.diff(np.r_[starts, len(number)])) + 1
+        names = ["changed_features", "distance", "probability", *features]
+        yield from pa.table([out[key], pa.array(place, pa.int32()), *[out[c] for c in names]], [key, "place", *names]).to_batches()
 
     scored = reliable_checkpoint(scorer(queries).select(key, "probability", *dict.fromkeys([*context, *features, *on])))
     base = scored.where(F.col("probability").isNotNull()).select(
         key, *context, *[F.col(f).cast("double").alias(f) for f in features], (F.col("probability") >= threshold).alias("_was"), code.alias("_profile")
     )
+    tasks = math.ceil(scored.count() / VERSION_ROWS)
+    if tasks > scored.rdd.getNumPartitions():
+        base = base.repartition(tasks)
+    conf, limit = queries.sparkSession.conf, "spark.sql.codegen.hugeMethodLimit"
+    conf.set(limit, min(METHOD_BYTES, int(conf.get(limit))))
     same = [base.schema[c] for c in (key, *context)]
     kinds = [T.LongType(), T.BooleanType(), T.IntegerType(), T.IntegerType(), T.DoubleType(), *[T.DoubleType()] * len(features)]
     schema = T.StructType([*same, *(T.StructField(n, t) for n, t in zip([*inner, *features], kinds))])

@@ -101,3 +101,54 @@ def test_counterfactuals_turn_every_row_that_can_be_turned(spark):
     assert sum(len(v) for v in by_id.values()) > 100
     assert E.counterfactual(table.limit(0), table, scorer, names, spread, "id", ["fixed"]).count() == 0
     assert E.counterfactual(table, table.limit(0), scorer, names, spread, "id", ["fixed"]).count() == 0
+
+
+def plain_copies(x, donor, scale):
+    new = np.where(np.isnan(donor), x, donor)
+    differs = ~((new == x) | (np.isnan(new) & np.isnan(x)))
+    gap = np.nan_to_num(np.abs(new - x)) / scale
+    order = [k for k in np.argsort(-gap, kind="stable") if differs[k]]
+    for n in sorted({min(n, len(order)) for n in (*E.TAKEN, len(order))} - {0}):
+        version = x.copy()
+        version[order[:n]] = new[order[:n]]
+        yield n, float(gap[order[:n]].sum()), version
+
+
+def plain_diverse(found, wanted):
+    found = sorted(found, key=lambda v: (v[1], v[2], v[0]))
+    leading = list({v[0]: v for v in reversed(found)}.values())[::-1]
+    leading.sort(key=lambda v: (v[1], v[2], v[0]))
+    chosen = []
+    for candidates in (leading, found):
+        while len(chosen) < wanted:
+            apart = [(min((sum(a != b for a, b in zip(v[3], c[3])) for c in chosen), default=1), v) for v in candidates]
+            apart = [(n, v) for n, v in apart if n]
+            if not apart:
+                break
+            chosen.append(min(apart, key=lambda t: (-t[0], t[1][1], t[1][2], t[1][0]))[1])
+    return chosen
+
+
+def test_versions_of_many_rows_are_those_of_each_row():
+    """All rows of a profile at once give what one row after the other gives."""
+    rng = np.random.default_rng(4)
+    scale = rng.choice([1.0, 3.0], 15)
+    x, pool, ends = (np.where(rng.random((n, 15)) < 0.1, np.nan, np.round(rng.normal(size=(n, 15)))) for n in (30, 9, 3))
+    donors = E.Donors({2: pool}, ends)
+    assert donors.near(x, 5, scale, 4).shape == (30, 3, 15)
+    near = donors.near(x, 2, scale, 4)
+    found = [[] for _ in x]
+    for i, own in enumerate(x):
+        order = np.argsort((np.nan_to_num(np.abs(pool - own)) / scale).sum(axis=1), kind="stable")[:4]
+        for d, donor in enumerate(np.vstack([pool[order], ends])):
+            assert np.array_equal(near[i, d], donor, equal_nan=True)
+            found[i] += [(d, n, distance, tuple(None if v != v else v for v in version)) for n, distance, version in plain_copies(own, donor, scale)]
+    row, donor, changed, distance, values = E.partial_copies(x, near, scale)
+    made = [(r, d, n, g, tuple(None if v != v else v for v in version)) for r, d, n, g, version in zip(row, donor, changed, distance, values)]
+    assert made == [(i, *v) for i, some in enumerate(found) for v in some]
+    keep = rng.random(len(row)) < 0.3  # some rows have few versions left, of few donors
+    keep &= ~((row % 5 == 0) & (donor > 0))
+    chosen = E.diverse(row[keep], donor[keep], changed[keep], distance[keep], values[keep], 3)
+    kept = [m for m, k in zip(made, keep) if k]
+    assert [kept[c] for c in chosen] == [(i, *v) for i in range(len(x)) for v in plain_diverse([m[1:] for m in kept if m[0] == i], 3)]
+    assert len(E.diverse(row[:0], donor[:0], changed[:0], distance[:0], values[:0], 3)) == 0
