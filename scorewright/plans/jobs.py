@@ -324,7 +324,8 @@ def join_nearest_embeddings(spark, sf):
                 join scored b on b.applicant_id = nearest_other_group_id)""", SCALED, NEIGHBOURS),
 )
 def neighbour_summary(spark, sf):
-    return rounded(A.difference_summary(rounded(neighbour_pairs(spark, sf))))
+    gaps = rounded(neighbour_pairs(spark, sf)).select("probability_difference")
+    return rounded(A.difference_summary(reliable_checkpoint(gaps)))  # written once: the search runs once
 
 
 @query("oversample_minority")
